@@ -35,7 +35,7 @@ up(id, top, nxt, path, steps) AS (
   SELECT id, id, parent, heading, 0 FROM n
   UNION ALL
   SELECT u.id, p.id, p.parent, p.heading || ' > ' || u.path, u.steps + 1 FROM up u JOIN n p ON p.id = u.nxt WHERE u.steps < 64 AND u.nxt <> u.id),
-last AS (SELECT id, arg_max(top, steps) AS top, arg_max(nxt, steps) AS nxt, arg_max(path, steps) AS path, max(steps) AS steps FROM up GROUP BY id),
+last AS (SELECT id, r.t AS top, r.n AS nxt, r.p AS path, steps FROM (SELECT id, arg_max(struct_pack(t := top, n := nxt, p := path), steps) AS r, max(steps) AS steps FROM up GROUP BY id)),
 s AS (SELECT l.*, n.stored, CASE WHEN l.nxt = l.id THEN 'cycle' WHEN l.steps >= 64 THEN 'below_cycle' WHEN l.nxt IS NULL THEN 'root' ELSE 'dangling' END AS status FROM last l JOIN n USING (id))"""
 ORACLE_SQL["p6_found"] = _P6 + """
 SELECT id, CASE WHEN status <> 'root' THEN status ELSE 'path' END AS defect FROM s WHERE status <> 'root' OR stored IS NULL OR stored <> path"""
