@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 
 from quarryloom.operators.forest import chunk_forest, descendants, hierarchy_defects
+from quarryloom.plans import document_queries, relational_queries, scalar_queries  # noqa: F401  (register their queries)
+from quarryloom.plans.registry import ORACLE_SQL, QUERIES
 from quarryloom.runtime import read_table
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
+#: Lexical retrieval: BM25 top 10 of every evaluation item over all documents.
+FLAGSHIP = "q_r1_a5_a6_bm25_topk"
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
@@ -43,4 +43,3 @@ ORACLE_SQL["p6_tree"] = _P6 + """
 SELECT id, status, CASE WHEN status = 'root' THEN top END AS root, CASE WHEN status IN ('root', 'dangling') THEN CAST(steps AS INTEGER) END AS depth, CASE WHEN status IN ('root', 'dangling') THEN path END AS path FROM s"""
 ORACLE_SQL["p6_descendants"] = _P6 + """
 SELECT u.top AS ancestor, u.id AS descendant, CAST(u.steps AS INTEGER) AS distance FROM up u JOIN s ON s.id = u.id WHERE s.status IN ('root', 'dangling') AND u.steps > 0"""
-FLAGSHIP = "p6_tree"
