@@ -3,6 +3,8 @@
 Each vector is read along many single projections. Vectors of one cell are kept as arrays sorted by a projection; a
 query-centred window over the array is widened level by level (virtual rehashing), the projections in whose windows
 two vectors fall together are counted, and pairs above the collision threshold are verified by their cosine.
+``similar_pairs`` ends that widening at a least cosine. ``nearest`` has none: there the window is the whole field, so
+that every vector gets its ``k`` nearest exactly, at a cost that grows with the square of the distinct vectors.
 
 Cells: along one projection of 48-dimensional unit vectors, a pair of cosine 0.93 differs by 0.054 and a chance pair
 by 0.204 (standard deviations), so a window that keeps the one keeps half of all others, and windows over whole
@@ -27,6 +29,9 @@ FIELDS = ("embedding", "embedding_summary_chunk", "embedding_summary_page")
 DIM = 48
 #: Rows that one shard of cells holds at most on average.
 SHARD_ROWS = 60_000
+#: Distinct vectors whose nearest one task of ``nearest`` looks for, and the tile of cosines it computes at once.
+QUERY_ROWS = 48_000
+TILE = (512, 2048)
 
 
 @dataclass(frozen=True)
@@ -218,6 +223,173 @@ def _units(dim: int):
     return work
 
 
+def _class_units(dim: int):
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ids = b.column("id")
+            for f, field in enumerate(FIELDS):
+                if field in b.schema.names:
+                    rows, x = valid_vectors(b.column(field), dim)
+                    yield pa.RecordBatch.from_arrays([pa.array([f] * len(rows), pa.int32()), ids.take(pa.array(rows)), pa.array([v.tobytes() for v in x], pa.binary())], ["f", "id", "unit"])
+
+    return work
+
+
+def _classes(chunks: DataFrame, dim: int) -> tuple[DataFrame, DataFrame]:
+    """Equal vectors of a field as one class: ``(row, unit)`` per class, and its members ``(row, id)``; ``row % 4`` is the field."""
+    fields = [f for f in FIELDS if f in chunks.columns]
+    units = chunks.where(F.col("id").isNotNull()).select("id", *fields).mapInArrow(_class_units(dim), "f int, id string, unit binary")
+    keyed = units.select((F.xxhash64("unit").bitwiseAND((1 << 61) - 1) * 4 + F.col("f")).alias("row"), "id", "unit")
+    return cut(keyed.select("row", "unit").dropDuplicates(["row"])), cut(keyed.select("row", "id").distinct())
+
+
+def _named(near: DataFrame, members: DataFrame, k: int) -> DataFrame:
+    """``field, id, neighbour, rank, cosine`` from ``row, other, cosine`` of classes, a class with itself among them.
+
+    A class stands for its ``k + 1`` smallest ids: one may be the asking vector itself.
+    """
+    place = F.row_number().over(Window.partitionBy("row").orderBy("id"))
+    heads = members.withColumn("place", place).where(F.col("place") <= k + 1).select(F.col("row").alias("other"), F.col("id").alias("neighbour"))
+    rank = F.row_number().over(Window.partitionBy("row").orderBy(F.desc("cosine"), "neighbour"))
+    best = near.join(heads, "other").withColumn("rank", rank).where(F.col("rank") <= k + 1)
+    lists = best.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("rank", "neighbour", "cosine"))).alias("list"))
+    own = members.join(lists, "row").select("row", "id", F.posexplode(F.slice(F.filter("list", lambda x: x["neighbour"] != F.col("id")), 1, k)).alias("at", "x"))
+    field = F.element_at(F.array(*[F.lit(f) for f in FIELDS]), (F.col("row") % 4 + 1).cast("int"))
+    return own.select(field.alias("field"), "id", "x.neighbour", (F.col("at") + 1).alias("rank"), "x.cosine")
+
+
+def _copies(members: DataFrame) -> DataFrame:
+    """Classes of several members."""
+    return members.groupBy("row").count().where(F.col("count") > 1).select("row")
+
+
+def _spread(groups: list[int], dim: int):
+    """Map side of the scan: each class once as a query of its part, and once as data for every part of its field."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = np.concatenate([[0], np.cumsum(groups)])
+        rec = np.dtype([("row", np.int64), ("v", np.float32, (dim,))])
+        for b in batches:
+            x = np.empty(b.num_rows, rec)
+            x["row"] = b.column("row").to_numpy()
+            if len(x):
+                x["v"] = np.frombuffer(b"".join(b.column("unit").to_pylist()), np.float32).reshape(-1, dim)
+            f, part, data, block = x["row"] % 4, [], [], []
+            g = (x["row"] >> 2) % np.maximum(np.array(groups)[f], 1)
+            for n, k in ((n, k) for n in range(len(groups)) for k in range(groups[n])):
+                for is_data, take in ((False, (f == n) & (g == k)), (True, f == n)):
+                    if take.any():
+                        part.append(int(first[n] + k))
+                        data.append(is_data)
+                        block.append(x[take].tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array(data, pa.bool_()), pa.array(block, pa.binary())], ["part", "data", "block"])
+
+    return work
+
+
+class _Best:
+    """The ``k`` greatest cosines of each of ``n`` queries so far, and those within rounding of the k-th."""
+
+    SLACK = 1e-6
+
+    def __init__(self, n: int, k: int) -> None:
+        self.k, self.least = k, np.full(n, -2, np.float32)
+        self.held: list[tuple[np.ndarray, ...]] = []
+        self.size, self.most = 0, max(1_000_000, 4 * n * k)
+
+    def add(self, query: np.ndarray, *rest: np.ndarray) -> None:
+        self.held.append((query, *rest))
+        self.size += len(query)
+        if self.size > self.most:
+            self.reduce()
+            self.most = max(self.most, 2 * self.size)
+
+    def reduce(self) -> tuple[np.ndarray, ...]:
+        if not self.held:
+            return np.empty(0, np.int64), np.empty(0, np.float32), np.empty(0, np.int64), np.empty(0)
+        cols = [np.concatenate(x) for x in zip(*self.held, strict=True)]
+        order = np.lexsort((-cols[1], cols[0]))
+        cols = [c[order] for c in cols]
+        query = cols[0]
+        starts = np.flatnonzero(np.append(True, query[1:] != query[:-1]))
+        sizes = np.diff(np.append(starts, len(query)))
+        full = sizes >= self.k
+        self.least[query[starts[full]]] = cols[1][starts[full] + self.k - 1] - self.SLACK
+        keep = cols[1] >= self.least[query]
+        self.held = [tuple(c[keep] for c in cols)]
+        self.size = int(keep.sum())
+        return self.held[0]
+
+
+def _scan(k: int, dim: int):
+    """Every query of a part against every class of its field, in tiles: ``row, other, cosine`` of the ``k`` nearest and their ties."""
+    rec = np.dtype([("row", np.int64), ("v", np.float32, (dim,))])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts: list[bytes] = []
+        rows = x = best = None
+        buffer = np.empty(TILE[0] * TILE[1], np.float32)
+        waiting: list[np.ndarray] = []
+
+        def score() -> None:
+            data = np.concatenate(waiting)
+            waiting.clear()
+            y = np.ascontiguousarray(data["v"])
+            for lo in range(0, len(rows), TILE[0]):
+                q = x[lo : lo + TILE[0]]
+                for at in range(0, len(y), TILE[1]):
+                    z = y[at : at + TILE[1]]
+                    s = np.matmul(q, z.T, out=buffer[: len(q) * len(z)].reshape(len(q), len(z)))
+                    least = best.least[lo : lo + TILE[0]]
+                    if least.min() < -1 and len(z) > k + 1:  # a first bound; the query itself may be among them
+                        least = np.maximum(least, np.partition(s, len(z) - k - 1, 1)[:, len(z) - k - 1] - best.SLACK)
+                        best.least[lo : lo + TILE[0]] = least
+                    i, j = np.divmod(np.flatnonzero(s >= least[:, None]), len(z))
+                    other = data["row"][at + j]
+                    new = other != rows[lo + i]
+                    i, j = i[new], j[new]
+                    if len(i):
+                        exact = np.einsum("ij,ij->i", q[i].astype(np.float64), z[j].astype(np.float64))
+                        best.add(lo + i, s[i, j], other[new], np.minimum(exact, 1.0))
+            best.reduce()
+
+        for b in batches:
+            for is_data, block in zip(b.column("data").to_pylist(), b.column("block").to_pylist(), strict=True):
+                if not is_data:
+                    parts.append(block)
+                    continue
+                if rows is None:  # the queries come first
+                    mine = np.frombuffer(b"".join(parts), rec)
+                    rows, x, best = mine["row"].copy(), np.ascontiguousarray(mine["v"]), _Best(len(mine), k)
+                waiting.append(np.frombuffer(block, rec))
+                if sum(map(len, waiting)) >= 8 * TILE[1]:
+                    score()
+        if waiting:
+            score()
+        if best is not None:
+            query, _, other, exact = best.reduce()
+            for lo in range(0, len(query), 100_000):
+                s = slice(lo, lo + 100_000)
+                yield pa.RecordBatch.from_arrays([pa.array(rows[query[s]]), pa.array(other[s]), pa.array(exact[s])], ["row", "other", "cosine"])
+
+    return work
+
+
+def nearest(chunks: DataFrame, k: int = Params.k, dim: int = DIM) -> DataFrame:
+    """``field, id, neighbour, rank, cosine``: the ``k`` nearest of every valid vector among the others of its field, exactly.
+
+    There are fewer only where the field has fewer others. Ties go to the smaller id; invalid vectors, null and
+    redelivered ids are treated as in ``similar_pairs``. Every pair of distinct vectors is compared.
+    """
+    classes, members = _classes(chunks, dim)
+    counts = {r[0]: r[1] for r in classes.groupBy((F.col("row") % 4).cast("int")).count().collect()}
+    groups = [-(-counts.get(f, 0) // QUERY_ROWS) for f in range(len(FIELDS))]
+    blocks = classes.mapInArrow(_spread(groups, dim), "part int, data boolean, block binary")
+    parts = blocks.repartitionById(max(1, sum(groups)), F.col("part")).sortWithinPartitions("part", "data")
+    near = cut(parts.mapInArrow(_scan(k, dim), "row bigint, other bigint, cosine double"))
+    return _named(near.unionByName(_copies(members).select("row", F.col("row").alias("other"), F.lit(1.0).alias("cosine"))), members, k)
+
+
 def _cosines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         cos = [float(np.dot(np.frombuffer(u, np.float32).astype(np.float64), np.frombuffer(v, np.float32).astype(np.float64))) for u, v in zip(b.column("ua").to_pylist(), b.column("ub").to_pylist(), strict=True)]

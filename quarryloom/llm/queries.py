@@ -35,6 +35,11 @@ def p2_found(spark, d):
     return neighbours.similar_pairs(_chunks(spark, d)).select("field", "id_a", "id_b")
 
 
+def p2_neighbours(spark, d):
+    """The 10 most similar vectors of every valid vector, however similar they are."""
+    return neighbours.nearest(_chunks(spark, d))
+
+
 def p3_found(spark, d):
     return splitting.oversized_boundaries(_chunks(spark, d))
 
@@ -108,5 +113,5 @@ def p10_restored(spark, d):
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p1_found, p1_clean, p2_found, p3_found, p3_pieces, p4_found, p4_main_text, p5_found, p5_totals, p5_document_totals,
+    f.__name__: f for f in (p1_found, p1_clean, p2_found, p2_neighbours, p3_found, p3_pieces, p4_found, p4_main_text, p5_found, p5_totals, p5_document_totals,
                             p7_found, p7_report, p8_found, p8_alignments, p9_found, p9_report, p9_mix, p10_found, p10_restored)}

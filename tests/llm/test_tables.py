@@ -180,3 +180,31 @@ def test_many_equal_vectors_stay_bounded(spark):
     df = spark.createDataFrame([(f"e{i:03d}", v) for i in range(400)], "id string, embedding array<float>")
     rows = neighbours.similar_pairs(df).collect()
     assert {i for r in rows for i in (r.id_a, r.id_b)} == {f"e{i:03d}" for i in range(400)} and len(rows) <= 400 * 10
+
+
+def test_nearest_of_every_vector_against_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "QUERY_ROWS", 250)
+    x = _vectors(5, 900)
+    x[100:130] = x[100]  # more equals than k
+    x[200:203] = x[200]
+    ids = [f"v{i:04d}" for i in range(len(x))]
+    bad = [("n1", None), ("n3", [1.0] * 47), ("n4", [0.0] * 48), ("n5", [float("nan")] * 48), (None, x[0].tolist())]
+    rows = [(i, v.tolist()) for i, v in zip(ids, x, strict=True)] + bad + [(ids[0], x[0].tolist())]
+    few = [[1.0] + [0.1 * i] * 47 for i in range(4)]
+    df = spark.createDataFrame([(i, v, few[k] if k < 4 else None) for k, (i, v) in enumerate(rows)], "id string, embedding array<float>, embedding_summary_page array<float>")
+    got = {}
+    for r in neighbours.nearest(df).collect():
+        got.setdefault((r.field, r.id), {})[r.rank] = (r.neighbour, r.cosine)
+    u = x.astype(np.float64)
+    u /= np.linalg.norm(u, axis=1)[:, None]
+    s = u.astype(np.float32).astype(np.float64)
+    s = s @ s.T
+    for i in range(len(x)):
+        s[i, (x == x[i]).all(1)] = 1
+        s[i, i] = -2
+        want = sorted(range(len(x)), key=lambda j: (-s[i, j], j))[:10]
+        mine = got["embedding", ids[i]]
+        assert [mine[k + 1][0] for k in range(10)] == [ids[j] for j in want] and len(mine) == 10
+        assert np.allclose([mine[k + 1][1] for k in range(10)], s[i, want])
+    assert {k: len(v) for k, v in got.items() if k[0] != "embedding"} == {("embedding_summary_page", i): 3 for i in ids[:4]} and len(got) == len(x) + 4
+    assert neighbours.nearest(df.limit(0)).count() == 0
