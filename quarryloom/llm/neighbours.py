@@ -38,7 +38,8 @@ TILE = (512, 2048)
 class Params:
     """``min_cosine`` ends the widening of windows; ``projections`` counted per pair, of which ``share`` must collide.
 
-    A vector stops asking once ``enough`` verified neighbours lie in its window (the termination of the method).
+    A vector stops asking once its ``k``-th verified neighbour lies so near that the windows searched so far were at least
+    ``sure`` deviations of such a pair wide (the termination of the method); how many it met doesn't matter.
     """
 
     k: int = 10
@@ -47,7 +48,7 @@ class Params:
     bits: int = 10
     projections: int = 16
     share: float = 0.75
-    enough: int = 64
+    sure: float = 4.0
     seed: int = 7
 
     @property
@@ -80,12 +81,14 @@ def valid_vectors(column: pa.Array, dim: int = DIM) -> tuple[np.ndarray, np.ndar
     return rows[good], (x[good] / norm[good, None]).astype(np.float32)
 
 
+#: What rounding to such steps changes in a cosine, at most.
+ROUNDING = 0.01
 #: One record of a shard: table and cell, row number, vector in steps of 1/127.
 _REC = np.dtype([("cell", np.uint32), ("row", np.int64), ("v", np.int8, (DIM,))])
 
 
 def _emit(p: Params, shards: int, dim: int):
-    """Map side: every valid vector once per table, packed into one block per shard and task."""
+    """Map side: every distinct valid vector once per table, packed into one block per shard and task."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         planes, _ = _planes(p, dim)
@@ -106,26 +109,22 @@ def _emit(p: Params, shards: int, dim: int):
 
         held = 0
         for b in batches:
+            if not b.num_rows:
+                continue
             ids = b.column("row").to_numpy()
-            for f, field in enumerate(FIELDS):
-                if field not in b.schema.names:
-                    continue
-                rows, x = valid_vectors(b.column(field), dim)
-                if not len(rows):
-                    continue
-                q = np.clip(np.rint(x * 127), -127, 127).astype(np.int8)
-                signs = (x @ planes > 0).reshape(len(x), p.tables, p.bits)
-                cells = (signs * weights).sum(2, dtype=np.uint32)
-                for t in range(p.tables):
-                    rec = np.empty(len(x), _REC)
-                    rec["cell"] = cells[:, t]
-                    rec["row"] = ids[rows] * 4 + f
-                    rec["v"] = q
-                    group = np.uint32(f * p.tables + t)
-                    mixed = (rec["cell"] + np.uint32((f * p.tables + t) * 2654435761 & 0xFFFFFFFF)) * np.uint32(2246822519)
-                    rec["cell"] |= group << np.uint32(p.bits)
-                    parts.append((((mixed ^ (mixed >> np.uint32(15))) % np.uint32(shards)).astype(np.int32), rec))
-                    held += len(x)
+            x = np.frombuffer(b"".join(b.column("unit").to_pylist()), np.float32).reshape(-1, dim)
+            q = np.clip(np.rint(x * 127), -127, 127).astype(np.int8)
+            signs = (x @ planes > 0).reshape(len(x), p.tables, p.bits)
+            cells = (signs * weights).sum(2, dtype=np.uint32)
+            for t in range(p.tables):
+                rec = np.empty(len(x), _REC)
+                rec["row"] = ids
+                rec["v"] = q
+                group = ((ids % 4) * p.tables + t).astype(np.uint32)
+                mixed = (cells[:, t] + group * np.uint32(2654435761)) * np.uint32(2246822519)
+                rec["cell"] = cells[:, t] | group << np.uint32(p.bits)
+                parts.append((((mixed ^ (mixed >> np.uint32(15))) % np.uint32(shards)).astype(np.int32), rec))
+                held += len(x)
             if held > 400_000:
                 yield from flush()
                 held = 0
@@ -135,7 +134,8 @@ def _emit(p: Params, shards: int, dim: int):
 
 
 def _search_block(rec: np.ndarray, p: Params, axes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Candidate pairs of one shard's records: ``(row a, row b, approximate cosine)``."""
+    """Candidates of one shard's records, the ``k`` nearest of each that it holds and what rounding can't tell from them:
+    ``(row, its neighbour, approximate cosine)``."""
     x = rec["v"].astype(np.float32)
     x /= np.sqrt((x * x).sum(1))[:, None]
     proj = x @ axes
@@ -146,8 +146,8 @@ def _search_block(rec: np.ndarray, p: Params, axes: np.ndarray) -> tuple[np.ndar
     widths = [2.5 * p.radius * s for s in (0.25, 0.5, 1.0)]
     first = proj[:, 0]
     need = math.ceil(p.share * p.projections)
-    satisfied = np.zeros(n, np.int32)
-    out_a, out_b, out_c = [], [], []
+    best = _Best(n, p.k, ROUNDING)
+    stopped = np.zeros(n, bool)
     for level, wide in enumerate(widths):
         narrow = widths[level - 1] if level else -1.0
         live = np.arange(n - 1)
@@ -158,36 +158,31 @@ def _search_block(rec: np.ndarray, p: Params, axes: np.ndarray) -> tuple[np.ndar
             gap = first[other] - first[live]
             inside = (cell[other] == cell[live]) & (gap <= wide)
             live, other = live[inside], other[inside]
-            # A pair that an earlier level met isn't counted again.
-            todo = (satisfied[live] < p.enough) | (satisfied[other] < p.enough)
+            # Who stops is settled between levels only: so whatever an earlier level's windows held has been counted.
+            todo = ~(stopped[live] & stopped[other])
             a, b = live[todo], other[todo]
-            if level == 0:
-                live = live[todo]
-            if len(a):
-                for lo in range(0, len(a), 200_000):
-                    i, j = a[lo : lo + 200_000], b[lo : lo + 200_000]
-                    # The first few projections discard most chance pairs before all are counted.
-                    d4 = np.abs(proj[i, 1:5] - proj[j, 1:5]) <= wide
-                    keep = d4.sum(1) >= 3
-                    i, j = i[keep], j[keep]
-                    d = np.abs(proj[i] - proj[j])
-                    hits = (d <= wide).sum(1) >= need
-                    if narrow > 0:
-                        hits &= ~((d[:, 0] <= narrow) & ((d[:, 1:5] <= narrow).sum(1) >= 3) & ((d <= narrow).sum(1) >= need))
-                    i, j = i[hits], j[hits]
-                    c = np.einsum("ij,ij->i", x[i], x[j])
-                    good = c >= p.min_cosine - 0.01
-                    i, j, c = i[good], j[good], c[good]
-                    if len(i):
-                        out_a.append(row[i])
-                        out_b.append(row[j])
-                        out_c.append(c)
-                        np.add.at(satisfied, i, 1)
-                        np.add.at(satisfied, j, 1)
+            for lo in range(0, len(a), 200_000):
+                i, j = a[lo : lo + 200_000], b[lo : lo + 200_000]
+                # The first few projections discard most chance pairs before all are counted.
+                d4 = np.abs(proj[i, 1:5] - proj[j, 1:5]) <= wide
+                keep = d4.sum(1) >= 3
+                i, j = i[keep], j[keep]
+                d = np.abs(proj[i] - proj[j])
+                hits = (d <= wide).sum(1) >= need
+                if narrow > 0:  # a pair that an earlier level met isn't counted again
+                    hits &= ~((d[:, 0] <= narrow) & ((d[:, 1:5] <= narrow).sum(1) >= 3) & ((d <= narrow).sum(1) >= need))
+                i, j = i[hits], j[hits]
+                c = np.einsum("ij,ij->i", x[i], x[j])
+                for q, o in ((i, j), (j, i)):
+                    good = c >= np.maximum(best.least[q], p.min_cosine - ROUNDING)
+                    if good.any():
+                        best.add(q[good], c[good], o[good])
             step += 1
-    if not out_a:
-        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.float32)
-    return np.concatenate(out_a), np.concatenate(out_b), np.concatenate(out_c)
+        best.reduce()
+        # ``least`` is that much below the k-th cosine; near 1, where this can hold, rounding shifts a cosine far less.
+        stopped = best.least + ROUNDING - ROUNDING / 4 >= 1 - (wide / p.sure) ** 2 / 2
+    q, c, o = best.reduce()[:3]
+    return row[q], row[o], c
 
 
 def _find(p: Params, dim: int):
@@ -209,21 +204,6 @@ def _find(p: Params, dim: int):
 
 
 def _units(dim: int):
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            index, unit = [], []
-            ids = b.column("row").to_numpy()
-            for f, field in enumerate(FIELDS):
-                if field in b.schema.names:
-                    rows, x = valid_vectors(b.column(field), dim)
-                    index.append(ids[rows] * 4 + f)
-                    unit.extend(v.tobytes() for v in x)
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(index) if index else [], pa.int64()), pa.array(unit, pa.binary())], ["row", "unit"])
-
-    return work
-
-
-def _class_units(dim: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ids = b.column("id")
@@ -238,7 +218,7 @@ def _class_units(dim: int):
 def _classes(chunks: DataFrame, dim: int) -> tuple[DataFrame, DataFrame]:
     """Equal vectors of a field as one class: ``(row, unit)`` per class, and its members ``(row, id)``; ``row % 4`` is the field."""
     fields = [f for f in FIELDS if f in chunks.columns]
-    units = chunks.where(F.col("id").isNotNull()).select("id", *fields).mapInArrow(_class_units(dim), "f int, id string, unit binary")
+    units = chunks.where(F.col("id").isNotNull()).select("id", *fields).mapInArrow(_units(dim), "f int, id string, unit binary")
     keyed = units.select((F.xxhash64("unit").bitwiseAND((1 << 61) - 1) * 4 + F.col("f")).alias("row"), "id", "unit")
     return cut(keyed.select("row", "unit").dropDuplicates(["row"])), cut(keyed.select("row", "id").distinct())
 
@@ -290,10 +270,8 @@ def _spread(groups: list[int], dim: int):
 class _Best:
     """The ``k`` greatest cosines of each of ``n`` queries so far, and those within rounding of the k-th."""
 
-    SLACK = 1e-6
-
-    def __init__(self, n: int, k: int) -> None:
-        self.k, self.least = k, np.full(n, -2, np.float32)
+    def __init__(self, n: int, k: int, slack: float = 1e-6) -> None:
+        self.k, self.slack, self.least = k, slack, np.full(n, -2, np.float32)
         self.held: list[tuple[np.ndarray, ...]] = []
         self.size, self.most = 0, max(1_000_000, 4 * n * k)
 
@@ -306,7 +284,7 @@ class _Best:
 
     def reduce(self) -> tuple[np.ndarray, ...]:
         if not self.held:
-            return np.empty(0, np.int64), np.empty(0, np.float32), np.empty(0, np.int64), np.empty(0)
+            return np.empty(0, np.int64), np.empty(0, np.float32), np.empty(0, np.int64), np.empty(0)  # as in ``add``
         cols = [np.concatenate(x) for x in zip(*self.held, strict=True)]
         order = np.lexsort((-cols[1], cols[0]))
         cols = [c[order] for c in cols]
@@ -314,7 +292,7 @@ class _Best:
         starts = np.flatnonzero(np.append(True, query[1:] != query[:-1]))
         sizes = np.diff(np.append(starts, len(query)))
         full = sizes >= self.k
-        self.least[query[starts[full]]] = cols[1][starts[full] + self.k - 1] - self.SLACK
+        self.least[query[starts[full]]] = cols[1][starts[full] + self.k - 1] - self.slack
         keep = cols[1] >= self.least[query]
         self.held = [tuple(c[keep] for c in cols)]
         self.size = int(keep.sum())
@@ -342,7 +320,7 @@ def _scan(k: int, dim: int):
                     s = np.matmul(q, z.T, out=buffer[: len(q) * len(z)].reshape(len(q), len(z)))
                     least = best.least[lo : lo + TILE[0]]
                     if least.min() < -1 and len(z) > k + 1:  # a first bound; the query itself may be among them
-                        least = np.maximum(least, np.partition(s, len(z) - k - 1, 1)[:, len(z) - k - 1] - best.SLACK)
+                        least = np.maximum(least, np.partition(s, len(z) - k - 1, 1)[:, len(z) - k - 1] - best.slack)
                         best.least[lo : lo + TILE[0]] = least
                     i, j = np.divmod(np.flatnonzero(s >= least[:, None]), len(z))
                     other = data["row"][at + j]
@@ -400,28 +378,19 @@ def similar_pairs(chunks: DataFrame, p: Params = Params(), dim: int = DIM) -> Da
     """``field, id_a, id_b, cosine`` of pairs at or above ``min_cosine`` of which one is among the other's ``k`` nearest.
 
     ``id_a < id_b``. Vectors that are null, of another length, not finite or all zero take no part; null ids neither;
-    redelivered ids count once. Equal vectors tie, and ties go to the smaller id among those found; a vector with very many
-    equals finds at least ``enough`` of them. ``p`` sets the accuracy: a pair at the least cosine shares a cell in at
-    least one table with probability 1 - (1 - (1 - arccos(c)/pi)^bits)^tables.
+    redelivered ids count once. Equal vectors are searched for once; they tie, and ties go to the smaller id. ``p`` sets
+    the accuracy: a pair at the least cosine shares a cell in at least one table with probability
+    1 - (1 - (1 - arccos(c)/pi)^bits)^tables. However many partners a vector has, none is left out for another that is
+    less near.
     """
     spark = chunks.sparkSession
-    fields = [f for f in FIELDS if f in chunks.columns]
-    rows = chunks.where(F.col("id").isNotNull()).select("id", (F.xxhash64("id").bitwiseAND((1 << 61) - 1)).alias("row"), *fields)
-    count = rows.count()
-    shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-count * p.tables * 2 // SHARD_ROWS))
-    blocks = rows.drop("id").mapInArrow(_emit(p, shards, dim), "shard int, block binary")
+    classes, members = _classes(chunks, dim)
+    shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-classes.count() * p.tables // SHARD_ROWS))
+    blocks = classes.mapInArrow(_emit(p, shards, dim), "shard int, block binary")
     found = cut(blocks.repartition(shards, "shard").mapInArrow(_find(p, dim), "row_a bigint, row_b bigint").distinct())
-    involved = found.select(F.explode(F.array("row_a", "row_b")).alias("__r")).distinct()
-    wanted = involved.select(F.shiftright("__r", 2).alias("row")).distinct()
-    kept = cut(rows.join(wanted, "row").dropDuplicates(["row"]))
-    units = kept.drop("id").mapInArrow(_units(dim), "row bigint, unit binary")
-    sides = found.join(units.select(F.col("row").alias("row_a"), F.col("unit").alias("ua")), "row_a").join(units.select(F.col("row").alias("row_b"), F.col("unit").alias("ub")), "row_b")
+    sides = found.join(classes.select(F.col("row").alias("row_a"), F.col("unit").alias("ua")), "row_a").join(classes.select(F.col("row").alias("row_b"), F.col("unit").alias("ub")), "row_b")
     exact = sides.mapInArrow(_cosines, "row_a bigint, row_b bigint, cosine double").where(F.col("cosine") >= p.min_cosine)
-    names = kept.select("row", "id")
-    named = exact.join(names.select(F.col("row").alias("ra"), F.col("id").alias("ida")), F.shiftright("row_a", 2) == F.col("ra")).join(
-        names.select(F.col("row").alias("rb"), F.col("id").alias("idb")), F.shiftright("row_b", 2) == F.col("rb"))
-    field = F.element_at(F.array(*[F.lit(f) for f in FIELDS]), (F.col("row_a") % 4 + 1).cast("int"))
-    both = named.select(field.alias("field"), F.explode(F.array(F.struct(F.col("ida").alias("a"), F.col("idb").alias("b")), F.struct(F.col("idb").alias("a"), F.col("ida").alias("b")))).alias("p"), "cosine")
-    rank = F.row_number().over(Window.partitionBy("field", "p.a").orderBy(F.desc("cosine"), "p.b"))
-    near = both.withColumn("rank", rank).where(F.col("rank") <= p.k)
-    return near.groupBy("field", F.least("p.a", "p.b").alias("id_a"), F.greatest("p.a", "p.b").alias("id_b")).agg(F.max("cosine").alias("cosine"))
+    both = exact.select(F.explode(F.array(F.struct(F.col("row_a").alias("row"), F.col("row_b").alias("other")), F.struct(F.col("row_b").alias("row"), F.col("row_a").alias("other")))).alias("p"), F.least("cosine", F.lit(1.0)).alias("cosine"))
+    near = both.select("p.row", "p.other", "cosine").unionByName(_copies(members).select("row", F.col("row").alias("other"), F.lit(1.0).alias("cosine")))
+    named = _named(near, members, p.k)
+    return named.groupBy("field", F.least("id", "neighbour").alias("id_a"), F.greatest("id", "neighbour").alias("id_b")).agg(F.max("cosine").alias("cosine"))

@@ -208,3 +208,24 @@ def test_nearest_of_every_vector_against_brute_force(spark, monkeypatch):
         assert np.allclose([mine[k + 1][1] for k in range(10)], s[i, want])
     assert {k: len(v) for k, v in got.items() if k[0] != "embedding"} == {("embedding_summary_page", i): 3 for i in ids[:4]} and len(got) == len(x) + 4
     assert neighbours.nearest(df.limit(0)).count() == 0
+
+
+def test_similar_pairs_in_a_dense_group_are_the_nearest(spark):
+    rng = np.random.default_rng(9)
+    u = rng.standard_normal(48)
+    u /= np.linalg.norm(u)
+    y = rng.standard_normal((600, 48))
+    y -= (y @ u)[:, None] * u
+    c = rng.uniform(0.985, 0.999, 600)[:, None]
+    x = (c * u + np.sqrt(1 - c * c) * y / np.linalg.norm(y, axis=1)[:, None]).astype(np.float32)
+    x = np.concatenate([x, x[:40]])
+    ids = [f"v{i:03d}" for i in range(len(x))]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in zip(ids, x, strict=True)], "id string, embedding array<float>")
+    got = {(r.id_a, r.id_b) for r in neighbours.similar_pairs(df).collect()}
+    w = x.astype(np.float64)
+    w /= np.linalg.norm(w, axis=1)[:, None]
+    s = w @ w.T
+    s[np.arange(40), np.arange(600, 640)] = s[np.arange(600, 640), np.arange(40)] = 1
+    np.fill_diagonal(s, -1)
+    want = {(ids[min(i, j)], ids[max(i, j)]) for i, row in enumerate(s) for j in np.argsort(-row)[:10]}
+    assert len(got & want) / len(want) >= 0.99 and len(got - want) / len(got) <= 0.01
