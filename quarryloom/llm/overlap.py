@@ -65,7 +65,7 @@ def _meetings(ranked: DataFrame, size: int, max_edits: int) -> DataFrame:
     t = keyed.where("in_train").select("key", F.col("cls").alias("train_cls"), F.col("len").alias("tlen"))
     met = e.join(t, "key").where(F.abs(F.col("elen") - F.col("tlen")) <= max_edits)
     longest = F.greatest("elen", "tlen")
-    met = met.where(longest >= max_edits + size) if size > 1 else met.where((longest > max_edits) & (longest < max_edits + SHINGLE))
+    met = met.where(longest >= max_edits + size) if size > 1 else met.where(longest < max_edits + SHINGLE)
     return met.select("eval_cls", "train_cls").distinct()
 
 
@@ -75,7 +75,8 @@ def class_pairs(classes: DataFrame, max_edits: int = MAX_EDITS) -> DataFrame:
     Two multisets within e edits share all but e words of either. So among the e+k rarest words of each (in one global
     order, rarest first) at least k are common, and they share one of the shingles of k words that those prefixes
     hold: only these are indexed and probed, with a length filter, before the words themselves are compared. Pairs of
-    texts too short for k common words meet by single words. Exact; no cap on partners.
+    texts too short for k common words meet by single words. Exact for pairs with a word in common; no cap on partners.
+    Texts of at most e words that have none are within e edits too: ``_short_pairs`` finds those that share a positive.
     """
     words_of = classes.select("cls", F.explode("tokens").alias("token"))
     df = words_of.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
@@ -90,14 +91,23 @@ def class_pairs(classes: DataFrame, max_edits: int = MAX_EDITS) -> DataFrame:
         "eval_cls", "train_cls", (F.greatest(F.size("etok"), F.size("ttok")) - shared).alias("edits")).where(F.col("edits") <= max_edits)
 
 
+def _short_pairs(normalised: DataFrame, max_edits: int) -> DataFrame:
+    """Pairs of texts of at most ``max_edits`` words that share a positive, as in ``class_pairs``: all words may be replaced."""
+    short = normalised.where(F.size("tokens") <= max_edits).select("side", F.col("cls"), "tokens", F.explode("positives").alias("positive"))
+    e = short.where("side = 'eval'").select("positive", F.col("cls").alias("eval_cls"), F.col("tokens").alias("etok")).distinct()
+    t = short.where("side = 'train'").select("positive", F.col("cls").alias("train_cls"), F.col("tokens").alias("ttok")).distinct()
+    shared = F.size(F.array_intersect("etok", "ttok"))
+    return e.join(t, "positive").select("eval_cls", "train_cls", (F.greatest(F.size("etok"), F.size("ttok")) - shared).alias("edits"))
+
+
 def cross_split_overlaps(queries: DataFrame, max_edits: int = MAX_EDITS) -> tuple[DataFrame, DataFrame]:
     """``(members, links)``: each query with its class (``qid, side, split, source, positives, cls``), and the class pairs.
 
     Together they hold every cross-split overlap without expanding groups of equal texts into pairs.
     """
-    normalised = cut(normalise_queries(queries))
-    links = class_pairs(text_classes(normalised), max_edits)
-    return normalised.withColumn("cls", F.xxhash64("tokens")).drop("tokens"), links
+    normalised = cut(normalise_queries(queries)).withColumn("cls", F.xxhash64("tokens"))
+    links = class_pairs(text_classes(normalised), max_edits).unionByName(_short_pairs(normalised, max_edits)).distinct()
+    return normalised.drop("tokens"), links
 
 
 def overlapping_pairs(queries: DataFrame, max_edits: int = MAX_EDITS) -> DataFrame:

@@ -229,3 +229,14 @@ def test_similar_pairs_in_a_dense_group_are_the_nearest(spark):
     np.fill_diagonal(s, -1)
     want = {(ids[min(i, j)], ids[max(i, j)]) for i, row in enumerate(s) for j in np.argsort(-row)[:10]}
     assert len(got & want) / len(want) >= 0.99 and len(got - want) / len(got) <= 0.01
+
+
+def test_overlap_of_texts_of_one_or_two_words(spark):
+    rows = [("t1", "install guide", ["A"], "train"), ("t2", "Guide", ["B"], None), ("t3", "reset password", ["C"], "train"), ("t4", "one two three", ["C"], "train"),
+            ("e1", "Install, guide!", [" a"], "test"), ("e2", "guide", ["b", "a"], "validation"), ("e3", "install guide", ["x"], "test"), ("e4", "login", ["c"], "test"), ("e5", "other words", ["x"], "test")]
+    df = spark.createDataFrame([(*r, "s", None) for r in rows], QUERY)
+    got = {tuple(r) for r in overlap.overlapping_pairs(df).collect()}
+    assert got == {("e1", "t1"), ("e2", "t1"), ("e2", "t2"), ("e4", "t3")}
+    report = {r.split: r for r in overlap.overlap_report(df).collect()}
+    assert (report["test"].queries, report["test"].same_words, report["test"].near_same) == (4, 2, 1)
+    assert (report["validation"].queries, report["validation"].same_words, report["validation"].near_same) == (1, 1, 0)
