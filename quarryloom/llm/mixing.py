@@ -23,14 +23,14 @@ def _count_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def sized_documents(documents: DataFrame, seed: int = 0) -> DataFrame:
     """``doc_id, src, tokens, key, bucket`` for documents with a source, trimmed and lower-cased.
 
-    Null text has 0 tokens. ``key`` is a uniform hash of ``doc_id`` and ``seed``; ``bucket`` its equal-width range,
-    so that ordering by (bucket, key) within a source is a range sort that needs no sampling.
+    Null text has 0 tokens. ``key`` is the first 60 bits of the MD5 of ``doc_id`` and ``seed``; ``bucket`` its
+    equal-width range, so that ordering by (bucket, key) within a source is a range sort that needs no sampling.
     """
     src = F.lower(F.trim("source"))
     docs = documents.select("doc_id", "text", src.alias("src")).where(F.col("src").isNotNull() & (F.col("src") != ""))
     counted = docs.mapInArrow(_count_tokens, f"doc_id {documents.schema['doc_id'].dataType.simpleString()}, src string, tokens bigint")
-    key = F.xxhash64(F.col("doc_id"), F.lit(seed))
-    return counted.withColumn("key", key).withColumn("bucket", F.shiftrightunsigned(key, 64 - (KEY_RANGES.bit_length() - 1)))
+    digest = F.md5(F.concat_ws(":", F.col("doc_id").cast("string"), F.lit(str(seed))))
+    return counted.withColumn("key", F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint")).withColumn("bucket", F.shiftright("key", 60 - (KEY_RANGES.bit_length() - 1)))
 
 
 def source_budgets(sized: DataFrame, targets: DataFrame) -> DataFrame:
@@ -62,7 +62,7 @@ def mix_sources(documents: DataFrame, targets: DataFrame, seed: int = 0) -> tupl
 
     The prefix sums are distributed: token sums per (source, key range) first, of which there are at most
     ``KEY_RANGES`` a source; only the one range in which a source's budget ends is then summed row by row. No task
-    sees more of a hot source than one range of it.
+    sees more of a hot source than one range of it, and no side of a join is broadcast without a look at its size.
     """
     sized = cut(sized_documents(documents, seed))
     budgets = source_budgets(sized, targets)
@@ -70,9 +70,9 @@ def mix_sources(documents: DataFrame, targets: DataFrame, seed: int = 0) -> tupl
     before = F.sum("sum_tokens").over(Window.partitionBy("src").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1))
     capacity = F.least(F.col("wanted"), F.col("repeats") * F.col("tokens").cast("double"))
     plan = sums.withColumn("before", F.coalesce(before, F.lit(0))).join(
-        F.broadcast(budgets.where("repeats > 0").select("src", "repeats", (capacity - (F.col("repeats") - 1) * F.col("tokens")).alias("rest"))), "src")
+        budgets.where("repeats > 0").select("src", "repeats", (capacity - (F.col("repeats") - 1) * F.col("tokens")).alias("rest")), "src")
     plan = plan.select("src", "bucket", "repeats", (F.col("rest") - F.col("before")).alias("left"), "sum_tokens")
-    rows = sized.join(F.broadcast(plan), ["src", "bucket"])
+    rows = sized.join(plan, ["src", "bucket"])
     #: A range that the budget covers, or that lies behind it, needs no order; that of the cut does.
     whole = rows.where((F.col("left") >= F.col("sum_tokens")) | (F.col("left") <= 0)).withColumn("copies", F.col("repeats") - F.when(F.col("left") <= 0, 1).otherwise(0))
     prefix = F.coalesce(F.sum("tokens").over(Window.partitionBy("src", "bucket").orderBy("key", "doc_id").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
@@ -86,3 +86,9 @@ def mix_sources(documents: DataFrame, targets: DataFrame, seed: int = 0) -> tupl
         F.col("src").alias("source"), "target_share", "max_repeats", "docs", "tokens", "wanted", "repeats", "mixed_tokens",
         F.try_divide(F.col("mixed_tokens").cast("double"), all_mixed).alias("actual_share"))
     return mix, report
+
+
+def repeated_sources(documents: DataFrame, targets: DataFrame, seed: int = 0) -> DataFrame:
+    """``source, repeats``: how often the mix takes its most repeated document of a source, where that is twice or more."""
+    mix, _ = mix_sources(documents, targets, seed)
+    return mix.groupBy("source").agg(F.max("copies").alias("repeats")).where("repeats >= 2")

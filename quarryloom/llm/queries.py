@@ -92,8 +92,7 @@ def p8_alignments(spark, d):
 
 
 def p9_found(spark, d):
-    _, report = mixing.mix_sources(_docs(spark, d), read_table(spark, d, "mix_targets"))
-    return report.where((F.col("docs") > 0) & (F.col("repeats") >= 2)).select("source", "repeats")
+    return mixing.repeated_sources(_docs(spark, d), read_table(spark, d, "mix_targets"))
 
 
 def p9_report(spark, d):

@@ -26,9 +26,21 @@ SELECT t.source, t.max_repeats, h.docs, h.tokens, t.target_share * (SELECT sum(t
 FROM (SELECT lower(trim(source)) AS source, sum(target_share) AS target_share, max(max_repeats) AS max_repeats FROM mix_targets GROUP BY ALL) t
 JOIN (SELECT source, count(*) AS docs, sum(tokens) AS tokens FROM {_SIZED} GROUP BY source) h USING (source)"""
 
+_MIX = f"""WITH d AS (SELECT doc_id, source, CAST(tokens AS BIGINT) AS tokens, CAST('0x' || substr(md5(concat(doc_id, ':0')), 1, 15) AS BIGINT) AS key FROM {_SIZED}),
+h AS (SELECT source, CAST(sum(tokens) AS BIGINT) AS tokens, count(*) AS docs FROM d GROUP BY source),
+t AS (SELECT lower(trim(source)) AS source, sum(coalesce(target_share, 0)) AS target_share, greatest(coalesce(max(max_repeats), 1), 0) AS max_repeats FROM mix_targets WHERE trim(coalesce(source, '')) <> '' GROUP BY 1),
+b AS (SELECT source, target_share, max_repeats, coalesce(docs, 0) AS docs, coalesce(tokens, 0) AS tokens, target_share * (SELECT coalesce(sum(tokens), 0) FROM h)::DOUBLE AS wanted FROM t LEFT JOIN h USING (source)),
+r AS (SELECT *, CAST(CASE WHEN tokens > 0 THEN least(max_repeats, ceil(wanted / tokens - 1e-9)) ELSE 0 END AS INTEGER) AS repeats FROM b),
+p AS (SELECT doc_id, source, tokens, coalesce(sum(tokens) OVER (PARTITION BY source ORDER BY key, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS prefix FROM d),
+mix AS (SELECT doc_id, source, p.tokens, CAST(repeats - CASE WHEN prefix < least(wanted, repeats * r.tokens) - (repeats - 1) * r.tokens THEN 0 ELSE 1 END AS INTEGER) AS copies FROM p JOIN r USING (source) WHERE repeats > 0)"""
+
 ORACLE_SQL: dict[str, str] = {
     "p5_found": f"SELECT DISTINCT id, category, language FROM {_COUNTED} WHERE token_count IS NULL OR token_count <> tokens",
     "p5_totals": f"SELECT category, language, count(*) AS rows, CAST(sum(tokens) AS BIGINT) AS tokens FROM {_COUNTED} GROUP BY category, language",
+    "p9_mix": f"{_MIX} SELECT doc_id, source, tokens, copies FROM mix WHERE copies > 0",
+    "p9_report": f"""{_MIX}, m AS (SELECT source, CAST(sum(tokens * copies) AS BIGINT) AS mixed FROM mix GROUP BY source), a AS (SELECT sum(mixed) AS everything FROM m)
+        SELECT r.source, target_share, max_repeats, docs, tokens, wanted, repeats, coalesce(mixed, 0) AS mixed_tokens, CAST(coalesce(mixed, 0) AS DOUBLE) / CAST(everything AS DOUBLE) AS actual_share
+        FROM r LEFT JOIN m USING (source), a""",
     "p9_found": f"""WITH b AS ({_BUDGETS}), r AS (SELECT source, docs, CAST(least(max_repeats, ceil(wanted / tokens - 1e-9)) AS INTEGER) AS repeats FROM b WHERE tokens > 0)
         SELECT source, repeats FROM r WHERE docs > 0 AND repeats >= 2""",
 }
