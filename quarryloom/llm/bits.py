@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,3 +34,18 @@ def maybe(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
         return at
     high = (keys[at].view(np.uint64) >> np.uint64(32)).astype(np.int64) & (BITS - 1)
     return at[(table[high >> 3] >> (high & 7).astype(np.uint8) & 1).astype(bool)]
+
+
+def only_maybe(rows: DataFrame, column: str, keys: DataFrame) -> DataFrame:
+    """``rows`` without most of those whose ``column`` (never null) is not among that column of ``keys``; none of the others is lost."""
+    held = bit_table(keys.select(F.xxhash64(column).alias("h")), "h")
+    schema = rows.schema
+
+    def work(batches):
+        for b in batches:
+            keep = np.zeros(b.num_rows, bool)
+            keep[maybe(held.value, b.column(0).to_numpy())] = True
+            if keep.any():
+                yield pa.RecordBatch.from_arrays(b.columns[1:], names=b.schema.names[1:]).filter(pa.array(keep))
+
+    return rows.select(F.xxhash64(column).alias("__h"), *rows.columns).mapInArrow(work, schema)
