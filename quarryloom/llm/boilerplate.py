@@ -1,65 +1,48 @@
 """Problem 4: page furniture mixed with main text. Parser events give each line's text-to-tag ratio; Gaussian smoothing
-and threshold clustering select content regions; what lies outside them is checked line by line."""
+and threshold clustering select content regions; what lies outside them is furniture, but for marked-up structure.
+
+No word of any language is written down here. Sentences that belong to furniture, as in consent notices, weigh less as
+text the more their words are those of sentences that stand among menus and buttons elsewhere in the corpus.
+"""
 
 from __future__ import annotations
 
 import math
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 from html.parser import HTMLParser
 
+import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SIGMA = 1.0
-#: Lines of fewer characters per tag are never content by their ratio alone. The threshold of a chunk is at least this.
-LEAST_RATIO = 90.0
-#: Most words of a title or button that stands alone on its line.
-TITLE_WORDS = 12
-
-#: Words that menus, buttons and side lists consist of, by language.
-FURNITURE_PHRASES = {
-    "en": "home|docs|api|guides|changelog|pricing|download|downloads|support|blog|community|about|contact|menu|search|login|log in|sign in|sign up|sign out|register|account|help|faq|"
-          "accept|accept all|reject|reject all|decline|settings|manage preferences|allow cookies|got it|ok|close|more|next|previous|back|up|top|share|print|"
-          "on this page|in this section|related articles|related pages|popular pages|see also elsewhere|see also|table of contents|contents|most read|recent posts|"
-          "skip to content|skip to main content|toggle navigation|back to top|edit this page|start now|book a demo|subscribe|follow us|terms of use|privacy|privacy policy|imprint|legal",
-    "de": "start|startseite|handbuch|preise|anleitungen|anmelden|registrieren|suche|hilfe|neuigkeiten|herunterladen|kontakt|menü|akzeptieren|alle akzeptieren|ablehnen|einstellungen|"
-          "auf dieser seite|in diesem abschnitt|verwandte artikel|beliebte seiten|siehe auch|nach oben|seite bearbeiten|newsletter abonnieren|impressum|datenschutz|agb|zum inhalt|weiter|zurück",
-    "fr": "accueil|aide|tarifs|référence|nouveautés|guides|connexion|rechercher|télécharger|contact|accepter|tout accepter|refuser|tout refuser|paramétrer|sur cette page|dans cette section|"
-          "articles liés|pages populaires|voir aussi|haut de page|modifier cette page|s'abonner à la lettre|mentions légales|confidentialité|aller au contenu|suivant|précédent",
-    "es": "inicio|ayuda|precios|referencia|novedades|guías|entrar|buscar|descargar|contacto|aceptar|aceptar todo|rechazar|rechazar todo|configurar|en esta página|en esta sección|"
-          "artículos relacionados|páginas populares|véase también|volver arriba|editar esta página|suscríbase al boletín|aviso legal|privacidad|ir al contenido|siguiente|anterior",
-    "pt": "início|ajuda|preços|referência|novidades|guias|entrar|pesquisar|baixar|contato|aceitar|aceitar tudo|recusar|configurar|nesta página|nesta seção|artigos relacionados|"
-          "páginas populares|ver também|voltar ao topo|editar esta página|assine o boletim|aviso legal|privacidade|ir para o conteúdo|próximo|anterior",
-}
-#: Heads of side lists.
-SIDE_HEADS = frozenset(
-    "on this page|in this section|related articles|related pages|popular pages|most read|recent posts|see also elsewhere|see also|table of contents|contents|auf dieser seite|"
-    "in diesem abschnitt|verwandte artikel|beliebte seiten|siehe auch|sur cette page|dans cette section|articles liés|pages populaires|voir aussi|en esta página|en esta sección|"
-    "artículos relacionados|páginas populares|véase también|nesta página|nesta seção|artigos relacionados|ver também".split("|"))
-#: Most words of a title in a side list.
+#: Deviation of the Gaussian, in lines of a block.
+SIGMA = 0.6
+#: An unfinished line of at most so many words reads as a title or button: this share of it counts as text.
+TITLE_WORDS, TITLE_SHARE = 12, 0.3
+#: Tags that a separator or symbol weighs.
+SIGN_TAGS = 2
+#: Most words of an item in a side list.
 LISTED_WORDS = 8
-_PHRASES = SIDE_HEADS | frozenset(p for group in FURNITURE_PHRASES.values() for p in group.split("|"))
-#: How sites speak of themselves or to the visitor in a consent notice.
-_CONSENT = re.compile(
-    r"^we (?:and our partners )?(?:use|set|store) (?:[\w ]+ )?cookies|^th(?:is|ese) (?:web)?(?:site|page)s?\b.*\bcookies?\b|^(?:by|if) (?:you )?continu\w+ .*\b(?:you (?:agree|accept|consent)|cookies?)\b"
-    r"|\bstores? small files on your device\b|\byou (?:agree|consent) to (?:our|the use of|its)\b|\bcookies? (?:so that|to) (?:we|improve your|measure|remember your|keep you)\b"
-    r"|^(?:wir|diese (?:web)?seite)\b.*\bcookies\b|\b(?:nutzt|verwendet|setzt) cookies\b|^(?:mit der|durch die) (?:weiteren )?nutzung\b.*\bcookies\b|\bstimmen sie\b.*\bcookies\b"
-    r"|^(?:nous|ce site)\b.*\bcookies\b|\butilise des cookies\b|^en (?:poursuivant|continuant)\b.*\bcookies\b|\bvous acceptez\b.*\bcookies\b"
-    r"|^(?:este sitio|esta web|usamos|utilizamos)\b.*\bcookies\b|\b(?:usa|utiliza) (?:as |las )?cookies\b|^al continuar\b.*\bcookies\b|\bacepta\w* las cookies\b"
-    r"|^(?:este site|nós)\b.*\bcookies\b|^ao continuar\b.*\bcookies\b|\baceita\w* os cookies\b", re.I)
-_LEGAL = re.compile(r"^(?:©|&copy;|\(c\) ?\d|copyright\b)|\ball rights reserved\b|\balle rechte vorbehalten\b|\btous droits réservés\b|\btodos (?:los|os) (?:derechos|direitos) reservados\b", re.I)
-_SEARCH = re.compile(r"^(?:search|suche\w*|in .{1,30} suchen|recherch\w+|buscar|pesquisar|procurar)\b.{0,40}(?:\.\.\.|…)$", re.I)
-_RATING = re.compile(r"^[★☆]|^\d+ (?:of|von|sur|de) \d+ .{0,60}$|▾\s*$|^[«‹]\s*\S|\S\s*[»›]$")
-_FEEDBACK = re.compile(r"\b(?:was this (?:page|article) helpful|readers found this|war diese seite hilfreich|vous a-t-elle aidé|le fue útil|foi útil|did this help)\b", re.I)
-_HEAD = re.compile(r"^[^.!?]{2,40}:$")
+#: Slots of the word statistics, and steps of the histogram of levels: fixed bounds of what the driver receives.
+SLOTS, STEPS = 1 << 18, 128
+#: Most that one word or pair of words says for or against furniture, in nats; sentences that each is thought to be in besides, in proportion to the two kinds.
+CLIP, UNSEEN = 3.0, 1.0
+_TOP = math.log1p(5000)
+
+#: Signs that separate the links of a menu or mark a control.
+_SIGNS = re.compile(r"\s[|·•/›»>–—]\s|[›»«‹▾▼★☆©®]|&copy;|\s{2,}\S|\t")
 _BULLET = re.compile(r"^(?:[-*+•]\s+)(.*)$", re.S)
-_LINK_ONLY = re.compile(r"^(?:!?\[[^\[\]]*\]\([^()]*\)[\s|·›/,]*)+$")
-_ANCHOR_ONLY = re.compile(r"^(?:<a\b[^>]*>[^<]*</a>[\s|·›/,]*)+$", re.I)
-_BARS = re.compile(r"\s+[|·›>/•–]\s+|\s{2,}|\t")
+_LINK = re.compile(r"!?\[[^\[\]]*\]\([^()]*\)")
 _MARKUP_LINE = re.compile(r"^(?:[|{}\\$\[<#=!>]|-{2,}|={2,}|\d+[.)]\s|```|~~~|:::|\*\*|''|__)")
-_END = re.compile(r"[.!?…:;,)\]}>]\W*$")
+_UNDERLINE = re.compile(r"^[ \t]*(?:-{2,}|={2,})[ \t]*\r?$")
+_FINISHED = re.compile(r"(?<![.…])[.!?。！？]\W*$|[.!?;]\s+\S+\s+\S+\s+\S|[,;)\]}]\W*$")
+_SENTENCE = re.compile(r"(?<![.…])[.!?。！？]\W*$")
+_TOKEN = re.compile(r"[^\W\d_]+")
+_INLINE = re.compile(r"[`*{}\\$=<>]|\]\(")
 _NAV_TAGS = frozenset("nav header footer aside menu form button select option".split())
 
 
@@ -68,7 +51,8 @@ class LineEvents(HTMLParser):
 
     def __init__(self, lines: int):
         super().__init__(convert_charrefs=False)
-        self.tags, self.text, self.nav, self.depth = [0] * lines, [0] * lines, [False] * lines, 0
+        self.tags, self.text, self.links, self.nav = [0] * lines, [0] * lines, [0] * lines, [False] * lines
+        self.depth = self.anchors = 0
 
     def _line(self) -> int:
         return min(self.getpos()[0] - 1, len(self.tags) - 1)
@@ -78,6 +62,7 @@ class LineEvents(HTMLParser):
         self.tags[n] += 1
         if tag in _NAV_TAGS:
             self.depth += 1
+        self.anchors += tag == "a"
         self.nav[n] |= self.depth > 0
 
     def handle_startendtag(self, tag, attrs):
@@ -89,12 +74,14 @@ class LineEvents(HTMLParser):
         self.nav[n] |= self.depth > 0
         if tag in _NAV_TAGS and self.depth:
             self.depth -= 1
+        if tag == "a" and self.anchors:
+            self.anchors -= 1
 
     def handle_data(self, data):
         n = self._line()
         for k, part in enumerate(data.split("\n")):
             at = min(n + k, len(self.text) - 1)
-            self.text[at] += len(part.strip())
+            (self.links if self.anchors else self.text)[at] += len(part.strip())
             self.nav[at] |= self.depth > 0
 
     def handle_entityref(self, name):
@@ -103,35 +90,40 @@ class LineEvents(HTMLParser):
     handle_charref = handle_entityref
 
 
-def _kernel(sigma: float) -> list[float]:
+def _kernel(sigma: float) -> np.ndarray:
     radius = math.ceil(2 * sigma)
-    raw = [math.exp(-(i * i) / (2 * sigma * sigma)) for i in range(-radius, radius + 1)]
-    return [x / sum(raw) for x in raw]
+    raw = np.exp(-(np.arange(-radius, radius + 1) ** 2) / (2 * sigma * sigma))
+    return raw / raw.sum()
 
 
 _KERNEL = _kernel(SIGMA)
 
 
-def smooth(values: list[float]) -> list[float]:
-    r, n = len(_KERNEL) // 2, len(values)
-    return [sum(k * values[min(max(i + j - r, 0), n - 1)] for j, k in enumerate(_KERNEL)) for i in range(n)]
+def smooth(values: list[float]) -> np.ndarray:
+    """Gaussian means of a block's lines; beyond its ends the outer lines go on."""
+    r = len(_KERNEL) // 2
+    return np.convolve(np.pad(np.asarray(values, float), r, mode="edge"), _KERNEL, "valid")
 
 
-def threshold(values: list[float]) -> float:
-    """The border between two clusters of the ratios, by Lloyd's iteration from their extremes."""
-    low, high = min(values), max(values)
-    if high - low < 1e-9:
-        return low
-    for _ in range(20):
+def threshold(histogram: np.ndarray) -> float:
+    """The border between the two clusters of a histogram over 0 to ``_TOP``: Lloyd's iteration from its outer quarters."""
+    centres = (np.arange(len(histogram)) + 0.5) * _TOP / len(histogram)
+    total = histogram.sum()
+    if not total:
+        return _TOP / 2
+    reached = np.cumsum(histogram)
+    low, high = centres[np.searchsorted(reached, 0.02 * total)], centres[np.searchsorted(reached, 0.9 * total)]
+    for _ in range(100):
         border = (low + high) / 2
-        a, b = [v for v in values if v <= border], [v for v in values if v > border]
+        below = centres <= border
+        a, b = histogram[below].sum(), histogram[~below].sum()
         if not a or not b:
             break
-        new = sum(a) / len(a), sum(b) / len(b)
-        if new == (low, high):
+        new = (histogram * centres)[below].sum() / a, (histogram * centres)[~below].sum() / b
+        if abs(new[0] - low) + abs(new[1] - high) < 1e-6:
             break
         low, high = new
-    return (low + high) / 2
+    return float((low + high) / 2)
 
 
 def code_lines(lines: list[str]) -> list[bool]:
@@ -149,8 +141,25 @@ def code_lines(lines: list[str]) -> list[bool]:
     return out
 
 
-def ratios(lines: list[str], text: str) -> tuple[list[float], list[bool]]:
-    """Text-to-tag ratio and navigation mark of each line. A Markdown link counts as a tag pair, its text as link text."""
+@dataclass
+class Line:
+    """One non-blank line outside of code: ``level`` is the logarithm of its text-to-tag ratio."""
+
+    no: int
+    text: str
+    level: float
+    nav: bool = False
+    bare_links: bool = False
+    fixed: bool = False
+    bullet: bool = False
+    words: int = 0
+
+
+def blocks(text: str) -> Iterator[list[Line]]:
+    """The lines of a chunk by runs without blank lines. Text within links counts as tags; so do signs between links.
+    ``fixed`` lines are marked-up structure: tables, headings, formulas, numbered lists."""
+    lines = text.split("\n")
+    events = None
     if "<" in text or "&" in text:
         events = LineEvents(len(lines))
         try:
@@ -158,103 +167,172 @@ def ratios(lines: list[str], text: str) -> tuple[list[float], list[bool]]:
             events.close()
         except (AssertionError, ValueError):  # the standard parser gives up on some declarations
             pass
-        tags, chars, nav = events.tags, events.text, events.nav
-    else:
-        tags, chars, nav = [0] * len(lines), [len(x.strip()) for x in lines], [False] * len(lines)
-    out = []
-    for line, t, n in zip(lines, tags, chars, strict=True):
-        t += 2 * line.count("](")
-        out.append(n / max(t, 1))
-    return out, nav
-
-
-def _norm(line: str) -> str:
-    return line.strip(" \t\r:.…«»‹›*_-").replace("’", "'").casefold()
-
-
-def is_furniture(line: str, nxt: str, in_list: bool) -> bool:
-    """The check of one line outside the content regions. ``nxt``: the next line; ``in_list``: it continues a side list."""
-    bullet = _BULLET.match(line)
-    body = bullet.group(1).strip() if bullet else line
-    if _LEGAL.search(body) or _CONSENT.search(body) or _SEARCH.match(body) or _FEEDBACK.search(body):
-        return True
-    if _LINK_ONLY.match(body) and not body.startswith("!"):
-        return True
-    if _ANCHOR_ONLY.match(body):
-        return True
-    if _norm(body) in _PHRASES:
-        return True
-    if _MARKUP_LINE.match(line):
-        return False
-    if re.match(r"^[ \t]*(?:-{2,}|={2,})[ \t]*\r?$", nxt):  # an underlined heading
-        return False
-    if bullet:
-        return in_list and len(body.split()) <= LISTED_WORDS and not _END.search(body)
-    if _RATING.search(line):
-        return True
-    parts = [p for p in _BARS.split(line) if p.strip(" |·›/•")]
-    if len(parts) >= 2 and all(len(p.split()) <= (5 if len(parts) > 2 else 4) and not re.search(r"[.!?]$", p) for p in parts) and re.search(r"\s[|·›•]\s|\s{2,}|\t", line):
-        return True
-    if len(parts) >= 2 and re.search(r"\s[·›]\s", line) and not re.search(r"[.!?]$", line):
-        return True
-    if _HEAD.match(line) and len(line.split()) <= 5:
-        return True
-    return len(line.split()) <= TITLE_WORDS and not _END.search(line) and not re.search(r"[`*{}\\$=<>]|\]\(", line)
-
-
-def furniture_lines(text: str | None) -> list[int]:
-    """Numbers (from 1) of the non-blank lines that are furniture."""
+    block: list[Line] = []
+    for i, (raw, is_code) in enumerate(zip(lines, code_lines(lines), strict=True)):
+        line = raw.strip()
+        if not line or is_code:
+            if block:
+                yield block
+                block = []
+            continue
+        bullet = _BULLET.match(line)
+        body = bullet.group(1).strip() if bullet else line
+        tags = chars = links = 0
+        if events is not None and "<" in line:
+            tags, chars, links = events.tags[i], events.text[i], events.links[i]
+        elif "](" in body:
+            rest = _LINK.sub("", body)
+            tags = 2 * body.count("](")
+            chars = len(re.sub(r"[\s|·›/,]+", " ", rest).strip())
+            links = len(body) - len(rest)
+        else:
+            chars = len(body)
+        bare = links > 0 and chars == 0 and not body.startswith("!")
+        words = len(body.split())
+        share = 1.0 if _FINISHED.search(body) or words > TITLE_WORDS else TITLE_SHARE
+        ratio = share * chars / (max(tags, 1) + SIGN_TAGS * len(_SIGNS.findall(line)))
+        fixed = not bare and bool(_MARKUP_LINE.match(line) or _UNDERLINE.match(lines[i + 1] if i + 1 < len(lines) else ""))
+        block.append(Line(i + 1, body, min(math.log1p(ratio), _TOP), events is not None and events.nav[i], bare, fixed, bool(bullet), words))
+    if block:
+        yield block
+
+
+def _slots(line: str) -> list[int]:
+    """The slots of a line's words and pairs of neighbouring words."""
+    words = _TOKEN.findall(line.casefold())
+    return [xxhash.xxh32_intdigest(w) % SLOTS for w in {*words, *map(" ".join, zip(words, words[1:], strict=False))}]
+
+
+def _tally(batches: Iterator[pa.RecordBatch], count) -> Iterator[pa.RecordBatch]:
+    """Sums what ``count(block, totals)`` adds for every block of a task: ``slot, low, high`` of the slots met."""
+    totals = np.zeros((2, SLOTS), np.int64)
+    for b in batches:
+        for text in b.column(0).to_pylist():
+            for block in blocks(text):
+                count(block, totals)
+    at = np.flatnonzero(totals.any(0))
+    yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(totals[0][at]), pa.array(totals[1][at])], ["slot", "low", "high"])
+
+
+def _totals(texts: DataFrame, count) -> np.ndarray:
+    rows = texts.mapInArrow(lambda it: _tally(it, count), "slot int, low bigint, high bigint").groupBy("slot").agg(F.sum("low"), F.sum("high")).collect()
+    out = np.zeros((2, SLOTS), np.int64)
+    for slot, low, high in rows:
+        out[:, slot] = low, high
+    return out
+
+
+def _plain(line: Line) -> bool:
+    return not (line.nav or line.bare_links or line.fixed or line.bullet)
+
+
+def _count_levels(block: list[Line], totals: np.ndarray) -> None:
+    for line, level in zip(block, smooth([x.level for x in block]), strict=True):
+        if _plain(line):
+            totals[0, min(int(level / _TOP * STEPS), STEPS - 1)] += 1
+
+
+@dataclass(frozen=True)
+class Model:
+    """``border`` between the levels of furniture and of text; ``odds``: what each slot says for furniture, in nats."""
+
+    border: float
+    prior: float
+    odds: np.ndarray
+
+    def text_share(self, line: str) -> float:
+        """How much of a sentence counts as text, by its words."""
+        return 1 / (1 + math.exp(min(self.prior + float(self.odds[_slots(line)].sum()), 50.0)))
+
+
+def learn(chunks: DataFrame) -> Model:
+    """Border and word statistics from all chunks, in two passes of which only sums of fixed size reach the driver.
+
+    The first clusters the levels of all lines. The second tells apart sentences in blocks whose mean level is that of
+    furniture, and sentences in blocks of text, and counts their words and pairs of words.
+    """
+    texts = chunks.where(F.col("content").isNotNull()).select("content")
+    border = threshold(_totals(texts, _count_levels)[0][:STEPS])
+
+    def count_words(block: list[Line], totals: np.ndarray) -> None:
+        level = sum(x.level for x in block) / len(block)
+        for line in block:
+            if _plain(line) and _SENTENCE.search(line.text):
+                side = 0 if level <= border else 1
+                totals[side, SLOTS - 1] += 1
+                totals[side, _slots(line.text)] += 1
+
+    low, high = _totals(texts, count_words)
+    sentences = max(int(low[-1]), 1), max(int(high[-1]), 1)
+    part = UNSEEN / sum(sentences)
+    odds = np.log(low / sentences[0] + part) - np.log(high / sentences[1] + part)
+    return Model(border, math.log(sentences[0] / sentences[1]), np.clip(odds, -CLIP, CLIP).astype(np.float32))
+
+
+def furniture_lines(text: str | None, model: Model) -> list[int]:
+    """Numbers (from 1) of the non-blank lines that are furniture: those outside of content regions, after a check of structure.
+
+    Lines within navigation elements and lines of nothing but links are outside at any level. Fixed structure is kept.
+    A sentence that its own words make text isn't drawn out of its region by the lines beside it.
+    Bulleted lines are furniture only as short items of a list right below a furniture line.
+    """
     if not text or text.isspace():
         return []
-    lines = text.split("\n")
-    code = code_lines(lines)
-    ratio, nav = ratios(lines, text)
-    free = [i for i, line in enumerate(lines) if line.strip() and not code[i]]
-    if not free:
-        return []
-    level = smooth([ratio[i] for i in free])
-    border = max(threshold(level), LEAST_RATIO)
-    out, in_list = [], False
-    for k, i in enumerate(free):
-        line = lines[i].strip()
-        if i and not lines[i - 1].strip():
-            in_list = False
-        if nav[i]:
-            out.append(i + 1)
-            in_list = False
-        elif min(level[k], ratio[i]) > border and len(line) > border:  # a content region
-            in_list = False
-        elif is_furniture(line, lines[i + 1].strip() if i + 1 < len(lines) else "", in_list):
-            out.append(i + 1)
-            in_list = (in_list and bool(_BULLET.match(line))) or bool(_HEAD.match(line)) or _norm(line) in SIDE_HEADS
-        else:
-            in_list = False
+    out = []
+    for block in blocks(text):
+        levels = []
+        for line in block:
+            level = line.level
+            if _plain(line) and _SENTENCE.search(line.text):
+                level = math.log1p(math.expm1(level) * model.text_share(line.text))
+            levels.append(level)
+        in_list = False
+        for line, level, own in zip(block, smooth(levels), levels, strict=True):
+            if line.nav or line.bare_links:
+                out.append(line.no)
+                in_list = in_list and not line.nav
+            elif line.fixed or (max if _SENTENCE.search(line.text) else min)(level, own) > model.border:  # a content region
+                in_list = False
+            elif line.bullet:
+                in_list = in_list and line.words <= LISTED_WORDS and not _FINISHED.search(line.text)
+                if in_list:
+                    out.append(line.no)
+            elif max(level, own) > model.border and _INLINE.search(line.text):
+                in_list = False
+            else:
+                out.append(line.no)
+                in_list = True
     return out
 
 
-def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        ids, numbers = [], []
-        for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-            found = furniture_lines(t)
-            ids.extend([i] * len(found))
-            numbers.extend(found)
-        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.string()), pa.array(numbers, pa.int32())], ["id", "line_no"])
+def _lines(held):
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ids, numbers = [], []
+            for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                found = furniture_lines(t, held.value)
+                ids.extend([i] * len(found))
+                numbers.extend(found)
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.string()), pa.array(numbers, pa.int32())], ["id", "line_no"])
+
+    return work
 
 
 def furniture(chunks: DataFrame) -> DataFrame:
     """``id, line_no`` of site furniture in ``content``, lines split at line feeds and counted from 1. Null and blank contents have none; redelivered rows count once."""
-    return chunks.select(F.col("id").cast("string"), "content").mapInArrow(_lines, "id string, line_no int").distinct()
+    held = chunks.sparkSession.sparkContext.broadcast(learn(chunks))
+    return chunks.select(F.col("id").cast("string"), "content").mapInArrow(_lines(held), "id string, line_no int").distinct()
 
 
 def main_text(chunks: DataFrame) -> DataFrame:
     """``id, filename, content, removed``: every chunk without its furniture lines, and how many they were."""
+    held = chunks.sparkSession.sparkContext.broadcast(learn(chunks))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts, counts = [], []
             for t in b.column("content").to_pylist():
-                drop = set(furniture_lines(t))
+                drop = set(furniture_lines(t, held.value))
                 kept = t if not drop else re.sub(r"\n{3,}", "\n\n", "\n".join(x for n, x in enumerate(t.split("\n"), 1) if n not in drop)).strip("\n")
                 texts.append(kept)
                 counts.append(len(drop))

@@ -96,15 +96,29 @@ def piece_lengths(pieces: DataFrame, tokenizer: Tokenizer = WHITESPACE) -> DataF
     return pieces.mapInArrow(measure, "piece_hash bigint, df bigint, n_tokens int, piece string")
 
 
+def _hot_from(lengths: DataFrame, most: int) -> int:
+    """The least document frequency that at most ``most`` pieces reach, from a histogram of some hundred steps."""
+    step = F.floor(F.log2("df") * 8)
+    total = 0
+    least = 1 << 62
+    for r in lengths.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("n"), F.min("df").alias("least")).orderBy(F.desc("step")).collect():
+        total += r["n"]
+        if total > most:
+            break
+        least = r["least"]
+    return least
+
+
 def token_counts(docs: DataFrame, key: str, text: str, keep: list[str], tokenizer: Tokenizer = WHITESPACE, hot_pieces: int = HOT_PIECES) -> DataFrame:
     """Exact tokens of every row: ``key, *keep, tokens``. Null and empty texts have 0.
 
-    Lengths of the ``hot_pieces`` most frequent pieces (a fixed bound) go to every worker, so a piece that is in a
+    Lengths of at most ``hot_pieces`` of the most frequent pieces go through the driver to every worker, so a piece that is in a
     third of all rows never becomes one join key's group. All other pieces leave as (row, piece, frequency) and meet
     the length table in a shuffle join; rows are numbered by content of ``key`` and ``keep``, and equal rows count once.
     """
     lengths = cut(piece_lengths(distinct_pieces(docs, text, tokenizer), tokenizer))
-    hot = {r["piece"]: r["n_tokens"] for r in lengths.orderBy(F.desc("df"), "piece").limit(hot_pieces).select("piece", "n_tokens").collect()}
+    least = _hot_from(lengths, hot_pieces)
+    hot = {r["piece"]: r["n_tokens"] for r in lengths.where(F.col("df") >= least).select("piece", "n_tokens").collect()}
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(hot)
 

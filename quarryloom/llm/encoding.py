@@ -7,7 +7,7 @@ import unicodedata
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarryloom.runtime import cut
@@ -15,7 +15,8 @@ from quarryloom.runtime import cut
 #: Single-byte character sets taken as the wrong reading, and as the true one of single-byte text.
 READ_AS = ("cp1252", "latin-1", "cp1250", "iso8859-2", "iso8859-15", "cp1251", "koi8-r", "cp866", "cp437", "cp850", "mac-roman")
 TRUE_SINGLE = ("cp1252", "cp1250", "iso8859-2", "cp1251", "koi8-r", "cp866", "cp437", "cp850", "mac-roman")
-MAX_DEPTH = 3
+#: Wrong readings in a row that the table of forms covers; words read wrongly more often are taken back from their own bytes.
+TABLE_DEPTH = 3
 LOST = "�"
 
 #: A word that holds a character beyond ASCII, with the ASCII letters and digits it is joined to.
@@ -59,19 +60,43 @@ def decode_as(raw: bytes, name: str) -> str:
     return "".join(chr(b) if b < 128 else there[b] for b in raw)
 
 
-#: Blocks whose characters a restored word may hold: Latin to Extended-A, Greek, Russian-type Cyrillic, punctuation, currency, symbols.
-_PLAUSIBLE = re.compile(r"[\x00-\x7f\xa0-ſƒȘ-țˆ˜Ͱ-ϿЀ-џҐґẞ‐-‧‰-⁞₠-₿℀-⅏←-⏿①-➿ﬁﬂ]*")
+#: Blocks whose characters a restored word may hold without further proof: Latin to Extended-A, Greek, Russian-type Cyrillic, punctuation, currency, symbols.
+_EVERYDAY = re.compile(r"[\x00-\x7f\xa0-ſƒȘ-țˆ˜Ͱ-ϿЀ-џҐґẞ‐-‧‰-⁞₠-₿℀-⅏←-⏿①-➿ﬁﬂ]*")
+#: Scripts that one word may mix.
+_EAST = frozenset({"CJK", "HIRAGANA", "KATAKANA", "KATAKANA-HIRAGANA", "HALFWIDTH", "FULLWIDTH", "IDEOGRAPHIC"})
+
+
+def _script(c: str) -> str:
+    name = unicodedata.name(c, "?").partition(" ")[0]
+    return "EAST" if name in _EAST else name
+
+
+def plausible(original: str, garbled: str) -> bool:
+    """Whether a word can be what was garbled: of everyday characters; else of assigned ones, letters of one script only,
+    while the garbled word looks like none: symbols or control characters among its letters, or capitals after small ones."""
+    if _EVERYDAY.fullmatch(original):
+        return True
+    high = [c for c in original if c > "\x7f"]
+    if any(unicodedata.category(c) in ("Cc", "Cn", "Co", "Cs") for c in high) or LOST in original:
+        return False
+    scripts = {_script(c) for c in high if c.isalpha()}
+    return len(scripts) <= 1 and (_c1(garbled) or oddness(garbled) > 0) and oddness(original) <= oddness(garbled)
+
+
+def _lone_cyrillic(text: str) -> bool:
+    """A chance reading: one Cyrillic letter among Latin ones, or alone."""
+    return sum("Ѐ" <= c <= "ӿ" for c in text) == 1 and (len(text) == 1 or any(c.isalpha() and c < "ɐ" for c in text))
 
 
 def ungarble(word: str) -> tuple[str, str] | None:
-    """``(original, chain)`` where a word's bytes in one character set are whole UTF-8, taken back again and again; else None.
+    """``(original, chain)`` where a word's bytes in one character set are whole UTF-8, taken back as often as that is so; else None.
 
-    Chance readings are discarded: the result must lie in everyday blocks, and Cyrillic from it must not stand alone among Latin letters.
+    Each step has fewer bytes than the last, so it ends. The last plausible reading counts.
     """
     best = None
     for name in READ_AS:
         text, depth = word, 0
-        while depth < MAX_DEPTH:
+        while not text.isascii():
             raw = encode_as(text, name)
             if raw is None:
                 break
@@ -82,24 +107,17 @@ def ungarble(word: str) -> tuple[str, str] | None:
             if back == text or not back:
                 break
             text, depth = back, depth + 1
-            if text.isascii():
-                break
-        if depth and not text.isascii() and _PLAUSIBLE.fullmatch(text):
-            cyrillic = sum("Ѐ" <= c <= "ӿ" for c in text)
-            latin = any(c.isalpha() and c < "ɐ" for c in text)
-            if cyrillic == 1 and (latin or len(text) == 1):
-                continue
-            if best is None or depth > best[2]:
+            if not text.isascii() and plausible(text, word) and not _lone_cyrillic(text) and (best is None or depth > best[2]):
                 best = (text, f"utf-8>{name}" + (f" x{depth}" if depth > 1 else ""), depth)
     return best and best[:2]
 
 
 def garbled_forms(word: str) -> dict[str, str]:
-    """Every wrong reading of a clean word -> its chain: UTF-8 read as single bytes (up to ``MAX_DEPTH`` times), single-byte sets read as others, lost characters."""
+    """Every wrong reading of a clean word -> its chain: UTF-8 read as single bytes (up to ``TABLE_DEPTH`` times), single-byte sets read as others, lost characters."""
     out: dict[str, str] = {}
     for name in READ_AS:
         text = word
-        for depth in range(1, MAX_DEPTH + 1):
+        for depth in range(1, TABLE_DEPTH + 1):
             text = decode_as(text.encode("utf-8"), name)
             out.setdefault(text, f"utf-8>{name}" + (f" x{depth}" if depth > 1 else ""))
     if len(word) > 2 and any(c.isalpha() for c in word if c > "\x7f"):
@@ -141,11 +159,13 @@ def _forms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for w, n in zip(b.column("word").to_pylist(), b.column("df").to_pylist(), strict=True):
             if LOST in w or _c1(w):
                 continue
+            clean = ungarble(w) is None
             for f, c in garbled_forms(w).items():
-                form.append(f)
-                orig.append(w)
-                chain.append(c)
-                df.append(n)
+                if clean or not c.startswith(("utf-8", "lost")):  # a garbled word is no original of these
+                    form.append(f)
+                    orig.append(w)
+                    chain.append(c)
+                    df.append(n)
         yield pa.RecordBatch.from_arrays([pa.array(form, pa.string()), pa.array(orig, pa.string()), pa.array(chain, pa.string()), pa.array(df, pa.int64())], ["form", "original", "chain", "odf"])
 
 
@@ -157,8 +177,10 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             own = None if LOST in w else ungarble(w)
             good = []
             for c in cands or []:
-                if c["chain"].startswith("utf-8") or LOST in w:
-                    ok = _PLAUSIBLE.fullmatch(c["original"]) is not None and ungarble(c["original"]) is None
+                if LOST in w:
+                    ok = True
+                elif c["chain"].startswith("utf-8"):
+                    ok = plausible(c["original"], w)
                 else:
                     a, z = oddness(c["original"]), oddness(w)
                     ok = a < z or (a == z and c["odf"] > n)
@@ -192,10 +214,10 @@ def word_repairs(doc_words: DataFrame) -> DataFrame:
     words = cut(doc_words.select(F.explode("words").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("df")))
     forms = words.mapInArrow(_forms, "form string, original string, chain string, odf bigint")
     met = words.select(F.col("word").alias("form")).join(forms, "form")
-    # A form has at most one original per chain and character set, except for lost characters: there the commonest ten decide.
-    rank = F.row_number().over(Window.partitionBy("form").orderBy(F.desc("odf"), "original", "chain"))
-    met = met.withColumn("r", rank).where((F.col("r") <= 10) | ~F.col("chain").startswith("lost"))
-    cands = met.groupBy(F.col("form").alias("word")).agg(F.collect_list(F.struct("original", "chain", "odf")).alias("cands"))
+    # A form has few originals by any other chain; of the many words that lost characters make alike, the commonest is taken.
+    lost = F.col("chain").startswith("lost")
+    best = met.where(lost).groupBy("form").agg(F.max(F.struct("odf", "original", "chain")).alias("b")).select("form", F.struct("b.original", "b.chain", "b.odf").alias("c"))
+    cands = met.where(~lost).select("form", F.struct("original", "chain", "odf").alias("c")).unionByName(best).groupBy(F.col("form").alias("word")).agg(F.collect_list("c").alias("cands"))
     return words.join(cands, "word", "left").mapInArrow(_verify, "word string, original string, chain string")
 
 

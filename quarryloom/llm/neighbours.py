@@ -8,8 +8,10 @@ that every vector gets its ``k`` nearest exactly, at a cost that grows with the
 
 Cells: along one projection of 48-dimensional unit vectors, a pair of cosine 0.93 differs by 0.054 and a chance pair
 by 0.204 (standard deviations), so a window that keeps the one keeps half of all others, and windows over whole
-tables would meet every pair many times. The signs of ``bits`` further projections therefore cut each of ``tables``
-copies of the collection into cells first; windows are searched within a cell.
+tables would meet every pair many times. Each of several copies of a field is therefore cut into cells first, as many
+as keep a cell's mean size the same however large the field is: a vector's cell is the greatest of its coordinates
+along random axes, and that again along others. How often a pair at the least cosine shares a cell is measured on
+random pairs, and the number of copies follows from it and from the recall asked for.
 """
 
 from __future__ import annotations
@@ -23,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarryloom.llm.bits import only_maybe
 from quarryloom.runtime import cut
 
 FIELDS = ("embedding", "embedding_summary_chunk", "embedding_summary_page")
@@ -38,14 +41,15 @@ TILE = (512, 2048)
 class Params:
     """``min_cosine`` ends the widening of windows; ``projections`` counted per pair, of which ``share`` must collide.
 
-    A vector stops asking once its ``k``-th verified neighbour lies so near that the windows searched so far were at least
-    ``sure`` deviations of such a pair wide (the termination of the method); how many it met doesn't matter.
+    ``recall``: with what probability a pair at the least cosine meets in one of the tables; ``cell_rows``: mean size of a
+    cell. A vector stops asking once its ``k``-th verified neighbour lies so near that the windows searched so far were at
+    least ``sure`` deviations of such a pair wide (the termination of the method); how many it met doesn't matter.
     """
 
     k: int = 10
     min_cosine: float = 0.93
-    tables: int = 12
-    bits: int = 10
+    recall: float = 0.985
+    cell_rows: int = 128
     projections: int = 16
     share: float = 0.75
     sure: float = 4.0
@@ -56,9 +60,42 @@ class Params:
         return math.sqrt(2 - 2 * self.min_cosine)
 
 
-def _planes(p: Params, dim: int) -> tuple[np.ndarray, np.ndarray]:
+@dataclass(frozen=True)
+class Cells:
+    """How one field is cut: ``tables`` copies, in each a vector's cell is its greatest coordinate along each set of ``axes``."""
+
+    axes: tuple[int, ...]
+    tables: int
+
+    def hashes(self, x: np.ndarray, seed: int) -> Iterator[np.ndarray]:
+        """The cell of every vector, table by table."""
+        for t in range(self.tables):
+            rng = np.random.default_rng((seed, t))
+            cell = np.zeros(len(x), np.uint64)
+            for n in self.axes:
+                y = x @ rng.standard_normal((x.shape[1], n)).astype(np.float32)
+                top = np.abs(y).argmax(1)
+                side = y[np.arange(len(x)), top] > 0
+                cell = cell * np.uint64(2 * n) + (2 * top + side).astype(np.uint64)
+            yield cell
+
+
+def plan_cells(rows: int, p: Params, dim: int) -> Cells:
+    """Cells for a field of ``rows`` vectors."""
+    want, axes = rows / p.cell_rows, []
+    while want >= 2:
+        axes.append(min(dim, round(want / 2)))
+        want /= 2 * axes[-1]
+    if not axes:
+        return Cells((), 1)
     rng = np.random.default_rng(p.seed)
-    return rng.standard_normal((dim, p.tables * p.bits)).astype(np.float32), rng.standard_normal((dim, p.projections)).astype(np.float32)
+    a, b = rng.standard_normal((2, 4000, dim))
+    a /= np.linalg.norm(a, axis=1)[:, None]
+    b -= (a * b).sum(1)[:, None] * a
+    b = p.min_cosine * a + math.sqrt(1 - p.min_cosine**2) * b / np.linalg.norm(b, axis=1)[:, None]
+    tries = Cells(tuple(axes), 8)
+    meet = np.mean([(u == v).mean() for u, v in zip(tries.hashes(a.astype(np.float32), p.seed), tries.hashes(b.astype(np.float32), p.seed), strict=True)])
+    return Cells(tuple(axes), math.ceil(math.log(1 - p.recall) / math.log(1 - min(max(meet, 1e-3), 0.999))))
 
 
 def valid_vectors(column: pa.Array, dim: int = DIM) -> tuple[np.ndarray, np.ndarray]:
@@ -83,16 +120,14 @@ def valid_vectors(column: pa.Array, dim: int = DIM) -> tuple[np.ndarray, np.ndar
 
 #: What rounding to such steps changes in a cosine, at most.
 ROUNDING = 0.01
-#: One record of a shard: table and cell, row number, vector in steps of 1/127.
-_REC = np.dtype([("cell", np.uint32), ("row", np.int64), ("v", np.int8, (DIM,))])
+#: One record of a shard: field, table and cell; row number; vector in steps of 1/127.
+_REC = np.dtype([("cell", np.uint64), ("row", np.int64), ("v", np.int8, (DIM,))])
 
 
-def _emit(p: Params, shards: int, dim: int):
-    """Map side: every distinct valid vector once per table, packed into one block per shard and task."""
+def _emit(p: Params, cells: list[Cells], shards: int, dim: int):
+    """Map side: every valid vector, equal ones of a batch once, in each table; packed into one block per shard and task."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        planes, _ = _planes(p, dim)
-        weights = (1 << np.arange(p.bits)).astype(np.uint32)
         parts: list[tuple[np.ndarray, np.ndarray]] = []
 
         def flush() -> Iterator[pa.RecordBatch]:
@@ -111,20 +146,20 @@ def _emit(p: Params, shards: int, dim: int):
         for b in batches:
             if not b.num_rows:
                 continue
-            ids = b.column("row").to_numpy()
-            x = np.frombuffer(b"".join(b.column("unit").to_pylist()), np.float32).reshape(-1, dim)
+            ids, once = np.unique(b.column("row").to_numpy(), return_index=True)
+            x = np.frombuffer(b"".join(b.column("unit").take(pa.array(once)).to_pylist()), np.float32).reshape(-1, dim)
             q = np.clip(np.rint(x * 127), -127, 127).astype(np.int8)
-            signs = (x @ planes > 0).reshape(len(x), p.tables, p.bits)
-            cells = (signs * weights).sum(2, dtype=np.uint32)
-            for t in range(p.tables):
-                rec = np.empty(len(x), _REC)
-                rec["row"] = ids
-                rec["v"] = q
-                group = ((ids % 4) * p.tables + t).astype(np.uint32)
-                mixed = (cells[:, t] + group * np.uint32(2654435761)) * np.uint32(2246822519)
-                rec["cell"] = cells[:, t] | group << np.uint32(p.bits)
-                parts.append((((mixed ^ (mixed >> np.uint32(15))) % np.uint32(shards)).astype(np.int32), rec))
-                held += len(x)
+            for f, own in enumerate(cells):
+                mine = np.flatnonzero(ids % 4 == f)
+                if not len(mine):
+                    continue
+                for t, cell in enumerate(own.hashes(x[mine], p.seed)):
+                    rec = np.empty(len(mine), _REC)
+                    rec["row"], rec["v"] = ids[mine], q[mine]
+                    rec["cell"] = cell | np.uint64((f << 8 | t) << 40)
+                    mixed = (rec["cell"] ^ (rec["cell"] >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15)
+                    parts.append((((mixed >> np.uint64(32)) % np.uint64(shards)).astype(np.int32), rec))
+                    held += len(mine)
             if held > 400_000:
                 yield from flush()
                 held = 0
@@ -137,10 +172,13 @@ def _search_block(rec: np.ndarray, p: Params, axes: np.ndarray) -> tuple[np.ndar
     """Candidates of one shard's records, the ``k`` nearest of each that it holds and what rounding can't tell from them:
     ``(row, its neighbour, approximate cosine)``."""
     x = rec["v"].astype(np.float32)
-    x /= np.sqrt((x * x).sum(1))[:, None]
+    x /= np.maximum(np.sqrt((x * x).sum(1)), 1e-9)[:, None]
     proj = x @ axes
     order = np.lexsort((rec["row"], proj[:, 0], rec["cell"]))
+    again = np.append(False, (rec["cell"][order][1:] == rec["cell"][order][:-1]) & (rec["row"][order][1:] == rec["row"][order][:-1]))
+    order = order[~again]  # equal vectors from other batches
     cell, row, x, proj = rec["cell"][order], rec["row"][order], x[order], proj[order]
+    few = [np.ascontiguousarray(proj[:, c]) for c in range(1, 5)]
     n = len(row)
     #: Half widths of the windows: virtual rehashing doubles them up to 2.5 deviations of a pair at the least cosine.
     widths = [2.5 * p.radius * s for s in (0.25, 0.5, 1.0)]
@@ -164,8 +202,10 @@ def _search_block(rec: np.ndarray, p: Params, axes: np.ndarray) -> tuple[np.ndar
             for lo in range(0, len(a), 200_000):
                 i, j = a[lo : lo + 200_000], b[lo : lo + 200_000]
                 # The first few projections discard most chance pairs before all are counted.
-                d4 = np.abs(proj[i, 1:5] - proj[j, 1:5]) <= wide
-                keep = d4.sum(1) >= 3
+                near = np.zeros(len(i), np.int8)
+                for c in few:
+                    near += np.abs(c[i] - c[j]) <= wide
+                keep = near >= 3
                 i, j = i[keep], j[keep]
                 d = np.abs(proj[i] - proj[j])
                 hits = (d <= wide).sum(1) >= need
@@ -187,7 +227,7 @@ def _search_block(rec: np.ndarray, p: Params, axes: np.ndarray) -> tuple[np.ndar
 
 def _find(p: Params, dim: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _, axes = _planes(p, dim)
+        axes = np.random.default_rng(p.seed).standard_normal((dim, p.projections)).astype(np.float32)
         held: dict[int, list[bytes]] = {}
         for b in batches:
             for s, block in zip(b.column("shard").to_pylist(), b.column("block").to_pylist(), strict=True):
@@ -215,11 +255,16 @@ def _units(dim: int):
     return work
 
 
-def _classes(chunks: DataFrame, dim: int) -> tuple[DataFrame, DataFrame]:
-    """Equal vectors of a field as one class: ``(row, unit)`` per class, and its members ``(row, id)``; ``row % 4`` is the field."""
+def _keyed(chunks: DataFrame, dim: int) -> DataFrame:
+    """``row, id, unit`` of every valid vector; equal vectors of a field have the same ``row``, and ``row % 4`` is the field."""
     fields = [f for f in FIELDS if f in chunks.columns]
     units = chunks.where(F.col("id").isNotNull()).select("id", *fields).mapInArrow(_units(dim), "f int, id string, unit binary")
-    keyed = units.select((F.xxhash64("unit").bitwiseAND((1 << 61) - 1) * 4 + F.col("f")).alias("row"), "id", "unit")
+    return units.select((F.xxhash64("unit").bitwiseAND((1 << 61) - 1) * 4 + F.col("f")).alias("row"), "id", "unit")
+
+
+def _classes(chunks: DataFrame, dim: int) -> tuple[DataFrame, DataFrame]:
+    """Equal vectors of a field as one class: ``(row, unit)`` per class, and its members ``(row, id)``."""
+    keyed = _keyed(chunks, dim)
     return cut(keyed.select("row", "unit").dropDuplicates(["row"])), cut(keyed.select("row", "id").distinct())
 
 
@@ -240,7 +285,7 @@ def _named(near: DataFrame, members: DataFrame, k: int) -> DataFrame:
 
 def _copies(members: DataFrame) -> DataFrame:
     """Classes of several members."""
-    return members.groupBy("row").count().where(F.col("count") > 1).select("row")
+    return members.groupBy("row").agg(F.min("id").alias("a"), F.max("id").alias("z")).where("a <> z").select("row")
 
 
 def _spread(groups: list[int], dim: int):
@@ -379,18 +424,23 @@ def similar_pairs(chunks: DataFrame, p: Params = Params(), dim: int = DIM) -> Da
 
     ``id_a < id_b``. Vectors that are null, of another length, not finite or all zero take no part; null ids neither;
     redelivered ids count once. Equal vectors are searched for once; they tie, and ties go to the smaller id. ``p`` sets
-    the accuracy: a pair at the least cosine shares a cell in at least one table with probability
-    1 - (1 - (1 - arccos(c)/pi)^bits)^tables. However many partners a vector has, none is left out for another that is
-    less near.
+    the accuracy. However many partners a vector has, none is left out for another that is less near.
     """
     spark = chunks.sparkSession
-    classes, members = _classes(chunks, dim)
-    shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-classes.count() * p.tables // SHARD_ROWS))
-    blocks = classes.mapInArrow(_emit(p, shards, dim), "shard int, block binary")
+    keyed = cut(_keyed(chunks, dim))
+    counts = {r[0]: r[1] for r in keyed.groupBy((F.col("row") % 4).cast("int")).count().collect()}
+    cells = [plan_cells(counts.get(f, 0), p, dim) for f in range(len(FIELDS))]
+    records = sum(counts.get(f, 0) * c.tables for f, c in enumerate(cells))
+    shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-records // SHARD_ROWS))
+    blocks = keyed.select("row", "unit").mapInArrow(_emit(p, cells, shards, dim), "shard int, block binary")
     found = cut(blocks.repartition(shards, "shard").mapInArrow(_find(p, dim), "row_a bigint, row_b bigint").distinct())
-    sides = found.join(classes.select(F.col("row").alias("row_a"), F.col("unit").alias("ua")), "row_a").join(classes.select(F.col("row").alias("row_b"), F.col("unit").alias("ub")), "row_b")
+    copies = cut(_copies(keyed.select("row", "id")))
+    asked = found.select(F.explode(F.array("row_a", "row_b")).alias("row")).unionByName(copies).distinct()
+    met = cut(only_maybe(keyed, "row", asked))
+    units, members = met.select("row", "unit").dropDuplicates(["row"]), met.select("row", "id").distinct()
+    sides = found.join(units.select(F.col("row").alias("row_a"), F.col("unit").alias("ua")), "row_a").join(units.select(F.col("row").alias("row_b"), F.col("unit").alias("ub")), "row_b")
     exact = sides.mapInArrow(_cosines, "row_a bigint, row_b bigint, cosine double").where(F.col("cosine") >= p.min_cosine)
     both = exact.select(F.explode(F.array(F.struct(F.col("row_a").alias("row"), F.col("row_b").alias("other")), F.struct(F.col("row_b").alias("row"), F.col("row_a").alias("other")))).alias("p"), F.least("cosine", F.lit(1.0)).alias("cosine"))
-    near = both.select("p.row", "p.other", "cosine").unionByName(_copies(members).select("row", F.col("row").alias("other"), F.lit(1.0).alias("cosine")))
+    near = both.select("p.row", "p.other", "cosine").unionByName(copies.select("row", F.col("row").alias("other"), F.lit(1.0).alias("cosine")))
     named = _named(near, members, p.k)
     return named.groupBy("field", F.least("id", "neighbour").alias("id_a"), F.greatest("id", "neighbour").alias("id_b")).agg(F.max("cosine").alias("cosine"))

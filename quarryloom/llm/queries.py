@@ -27,6 +27,10 @@ def p1_found(spark, d):
     return markup.markup_kinds(_chunks(spark, d))
 
 
+def p1_nodes(spark, d):
+    return markup.markup_nodes(_chunks(spark, d))
+
+
 def p1_clean(spark, d):
     return markup.cleaned_chunks(_chunks(spark, d))
 
@@ -66,7 +70,7 @@ def p5_totals(spark, d):
 
 
 def p5_document_totals(spark, d):
-    """Exact totals of a public byte-level BPE by source, language and title domain of documents."""
+    """Exact totals of a public byte-level BPE by source and language of documents; the domain of chunks is their category, see ``p5_totals``."""
     import public_tokenizers
 
     bpe = budget.byte_bpe(os.path.join(TOKENIZERS, "byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
@@ -112,5 +116,5 @@ def p10_restored(spark, d):
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p1_found, p1_clean, p2_found, p2_neighbours, p3_found, p3_pieces, p4_found, p4_main_text, p5_found, p5_totals, p5_document_totals,
+    f.__name__: f for f in (p1_found, p1_nodes, p1_clean, p2_found, p2_neighbours, p3_found, p3_pieces, p4_found, p4_main_text, p5_found, p5_totals, p5_document_totals,
                             p7_found, p7_report, p8_found, p8_alignments, p9_found, p9_report, p9_mix, p10_found, p10_restored)}
