@@ -136,7 +136,7 @@ def garbled_forms(word: str) -> dict[str, str]:
 def oddness(word: str) -> int:
     """How unlike a word it looks: symbols among letters, capitals after small letters, mixed scripts."""
     letters = [c for c in word if c.isalpha()]
-    core = word.strip("“”„‘’«»‹›–—…\"'")
+    core = word.strip("“”„‘’«»‹›–—…\"'\xa0\u2009\u202f")
     symbols = sum(not (c.isalnum() or c in "’'") and c > "\x7f" for c in core) if letters else 0
     turns = sum(a.islower() and b.isupper() for a, b in zip(word, word[1:], strict=False))
     scripts = len({"c" if "Ѐ" <= c <= "ӿ" else "g" if "Ͱ" <= c <= "Ͽ" else "l" for c in letters})
