@@ -9,9 +9,11 @@ from __future__ import annotations
 
 import math
 import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from html.parser import HTMLParser
+from operator import mul
 
 import numpy as np
 import pyarrow as pa
@@ -90,19 +92,22 @@ class LineEvents(HTMLParser):
     handle_charref = handle_entityref
 
 
-def _kernel(sigma: float) -> np.ndarray:
+def _kernel(sigma: float) -> list[float]:
     radius = math.ceil(2 * sigma)
-    raw = np.exp(-(np.arange(-radius, radius + 1) ** 2) / (2 * sigma * sigma))
-    return raw / raw.sum()
+    raw = [math.exp(-(i * i) / (2 * sigma * sigma)) for i in range(-radius, radius + 1)]
+    return [x / sum(raw) for x in raw]
 
 
 _KERNEL = _kernel(SIGMA)
 
 
-def smooth(values: list[float]) -> np.ndarray:
+def smooth(values: list[float]) -> list[float]:
     """Gaussian means of a block's lines; beyond its ends the outer lines go on."""
-    r = len(_KERNEL) // 2
-    return np.convolve(np.pad(np.asarray(values, float), r, mode="edge"), _KERNEL, "valid")
+    n, r = len(values), len(_KERNEL) // 2
+    if n == 1:
+        return values
+    padded = [values[0]] * r + values + [values[-1]] * r
+    return [sum(map(mul, _KERNEL, padded[i : i + 2 * r + 1])) for i in range(n)]
 
 
 def threshold(histogram: np.ndarray) -> float:
@@ -141,7 +146,7 @@ def code_lines(lines: list[str]) -> list[bool]:
     return out
 
 
-@dataclass
+@dataclass(slots=True)
 class Line:
     """One non-blank line outside of code: ``level`` is the logarithm of its text-to-tag ratio."""
 
@@ -153,6 +158,7 @@ class Line:
     fixed: bool = False
     bullet: bool = False
     words: int = 0
+    sentence: bool = False
 
 
 def blocks(text: str) -> Iterator[list[Line]]:
@@ -192,15 +198,26 @@ def blocks(text: str) -> Iterator[list[Line]]:
         share = 1.0 if _FINISHED.search(body) or words > TITLE_WORDS else TITLE_SHARE
         ratio = share * chars / (max(tags, 1) + SIGN_TAGS * len(_SIGNS.findall(line)))
         fixed = not bare and bool(_MARKUP_LINE.match(line) or _UNDERLINE.match(lines[i + 1] if i + 1 < len(lines) else ""))
-        block.append(Line(i + 1, body, min(math.log1p(ratio), _TOP), events is not None and events.nav[i], bare, fixed, bool(bullet), words))
+        block.append(Line(i + 1, body, min(math.log1p(ratio), _TOP), events is not None and events.nav[i], bare, fixed, bool(bullet), words, bool(_SENTENCE.search(body))))
     if block:
         yield block
 
 
+class _WordHash(dict):
+    def __missing__(self, word: str) -> int:
+        if len(self) > 200_000:
+            self.clear()
+        value = self[word] = xxhash.xxh32_intdigest(word)
+        return value
+
+
+_HASHES = _WordHash()
+
+
 def _slots(line: str) -> list[int]:
     """The slots of a line's words and pairs of neighbouring words."""
-    words = _TOKEN.findall(line.casefold())
-    return [xxhash.xxh32_intdigest(w) % SLOTS for w in {*words, *map(" ".join, zip(words, words[1:], strict=False))}]
+    ids = [_HASHES[w] for w in _TOKEN.findall(line.casefold())]
+    return list({*(h % SLOTS for h in ids), *((a * 31 + b) % SLOTS for a, b in zip(ids, ids[1:], strict=False))})
 
 
 def _tally(batches: Iterator[pa.RecordBatch], count) -> Iterator[pa.RecordBatch]:
@@ -238,11 +255,11 @@ class Model:
 
     border: float
     prior: float
-    odds: np.ndarray
+    odds: array
 
     def text_share(self, line: str) -> float:
         """How much of a sentence counts as text, by its words."""
-        return 1 / (1 + math.exp(min(self.prior + float(self.odds[_slots(line)].sum()), 50.0)))
+        return 1 / (1 + math.exp(min(self.prior + sum(map(self.odds.__getitem__, _slots(line))), 50.0)))
 
 
 def learn(chunks: DataFrame) -> Model:
@@ -257,7 +274,7 @@ def learn(chunks: DataFrame) -> Model:
     def count_words(block: list[Line], totals: np.ndarray) -> None:
         level = sum(x.level for x in block) / len(block)
         for line in block:
-            if _plain(line) and _SENTENCE.search(line.text):
+            if _plain(line) and line.sentence:
                 side = 0 if level <= border else 1
                 totals[side, SLOTS - 1] += 1
                 totals[side, _slots(line.text)] += 1
@@ -266,7 +283,7 @@ def learn(chunks: DataFrame) -> Model:
     sentences = max(int(low[-1]), 1), max(int(high[-1]), 1)
     part = UNSEEN / sum(sentences)
     odds = np.log(low / sentences[0] + part) - np.log(high / sentences[1] + part)
-    return Model(border, math.log(sentences[0] / sentences[1]), np.clip(odds, -CLIP, CLIP).astype(np.float32))
+    return Model(border, math.log(sentences[0] / sentences[1]), array("f", np.clip(odds, -CLIP, CLIP).astype(np.float32).tolist()))
 
 
 def furniture_lines(text: str | None, model: Model) -> list[int]:
@@ -283,7 +300,7 @@ def furniture_lines(text: str | None, model: Model) -> list[int]:
         levels = []
         for line in block:
             level = line.level
-            if _plain(line) and _SENTENCE.search(line.text):
+            if _plain(line) and line.sentence:
                 level = math.log1p(math.expm1(level) * model.text_share(line.text))
             levels.append(level)
         in_list = False
@@ -291,7 +308,7 @@ def furniture_lines(text: str | None, model: Model) -> list[int]:
             if line.nav or line.bare_links:
                 out.append(line.no)
                 in_list = in_list and not line.nav
-            elif line.fixed or (max if _SENTENCE.search(line.text) else min)(level, own) > model.border:  # a content region
+            elif line.fixed or (max if line.sentence else min)(level, own) > model.border:  # a content region
                 in_list = False
             elif line.bullet:
                 in_list = in_list and line.words <= LISTED_WORDS and not _FINISHED.search(line.text)
