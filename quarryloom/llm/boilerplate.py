@@ -110,21 +110,23 @@ def smooth(values: list[float]) -> list[float]:
     return [sum(map(mul, _KERNEL, padded[i : i + 2 * r + 1])) for i in range(n)]
 
 
-def threshold(histogram: np.ndarray) -> float:
-    """The border between the two clusters of a histogram over 0 to ``_TOP``: Lloyd's iteration from its outer quarters."""
-    centres = (np.arange(len(histogram)) + 0.5) * _TOP / len(histogram)
-    total = histogram.sum()
-    if not total:
-        return _TOP / 2
-    reached = np.cumsum(histogram)
-    low, high = centres[np.searchsorted(reached, 0.02 * total)], centres[np.searchsorted(reached, 0.9 * total)]
+def threshold(others: np.ndarray, sentences: np.ndarray) -> float:
+    """The border between two clusters of levels, from histograms over 0 to ``_TOP`` of sentences and of other lines.
+
+    Lloyd's iteration over both together, from their means. Without other lines nothing lies below the border, without
+    sentences everything does.
+    """
+    if not others.sum() or not sentences.sum():
+        return _TOP if others.sum() else 0.0
+    centres = (np.arange(len(others)) + 0.5) * _TOP / len(others)
+    both = others + sentences
+    low, high = (others * centres).sum() / others.sum(), (sentences * centres).sum() / sentences.sum()
     for _ in range(100):
-        border = (low + high) / 2
-        below = centres <= border
-        a, b = histogram[below].sum(), histogram[~below].sum()
+        below = centres <= (low + high) / 2
+        a, b = both[below].sum(), both[~below].sum()
         if not a or not b:
             break
-        new = (histogram * centres)[below].sum() / a, (histogram * centres)[~below].sum() / b
+        new = (both * centres)[below].sum() / a, (both * centres)[~below].sum() / b
         if abs(new[0] - low) + abs(new[1] - high) < 1e-6:
             break
         low, high = new
@@ -246,7 +248,7 @@ def _plain(line: Line) -> bool:
 def _count_levels(block: list[Line], totals: np.ndarray) -> None:
     for line, level in zip(block, smooth([x.level for x in block]), strict=True):
         if _plain(line):
-            totals[0, min(int(level / _TOP * STEPS), STEPS - 1)] += 1
+            totals[int(line.sentence), min(int(level / _TOP * STEPS), STEPS - 1)] += 1
 
 
 @dataclass(frozen=True)
@@ -269,7 +271,7 @@ def learn(chunks: DataFrame) -> Model:
     furniture, and sentences in blocks of text, and counts their words and pairs of words.
     """
     texts = chunks.where(F.col("content").isNotNull()).select("content")
-    border = threshold(_totals(texts, _count_levels)[0][:STEPS])
+    border = threshold(*_totals(texts, _count_levels)[:, :STEPS])
 
     def count_words(block: list[Line], totals: np.ndarray) -> None:
         level = sum(x.level for x in block) / len(block)

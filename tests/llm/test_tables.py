@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pytest
 
-from quarryloom.llm import budget, leakage, mixing, neighbours, overlap
+from quarryloom.llm import bits, budget, leakage, mixing, neighbours, overlap
 from quarryloom.llm.words import plain_words, words
 
 QUERY = "query_id string, text string, positives array<string>, split string, source string, labelled_at timestamp"
@@ -74,6 +74,46 @@ def test_leaks_match_brute_force(spark):
     assert leakage.leaked_documents(d.limit(0), i).count() == 0 and leakage.leaked_documents(d, i.limit(0)).count() == 0
 
 
+def test_edited_copies_are_aligned(spark):
+    """Words replaced, added and dropped: no run of twelve is left, the alignment tells."""
+    rng = random.Random(3)
+    items = [(k, " ".join(f"w{rng.randrange(5000)}" for _ in range(60))) for k in range(8)]
+
+    def edit(text: str, how: str) -> str:
+        out = []
+        for n, w in enumerate(text.split()):
+            if n % 9 == 8:
+                out += {"replace": [f"z{n}"], "add": [w, f"z{n}"], "drop": []}[how]
+            else:
+                out.append(w)
+        return " ".join(out)
+
+    filler = lambda: " ".join(f"f{rng.randrange(5000)}" for _ in range(80))
+    docs, wanted = [], set()
+    for k, text in items:
+        for h, how in enumerate(("replace", "add", "drop")):
+            docs.append((10 * k + h, f"{filler()} {edit(text, how)} {filler()}"))
+            wanted.add((10 * k + h, k))
+        docs.append((10 * k + 5, text if k % 2 else filler()))
+        wanted |= {(10 * k + 5, k)} if k % 2 else set()
+    d, i = spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
+    found = {(r.doc_id, r.item_id): r for r in leakage.leaks(d, i).collect()}
+    assert set(found) == wanted
+    assert all(r.share > 0.6 for r in found.values())
+    assert {(r.doc_id, r.item_id) for r in leakage.leaked_documents(d, i).collect()} == {p for p in wanted if p[0] % 10 == 5}
+
+
+def test_bit_table_loses_no_key(spark):
+    keys = spark.range(5000).selectExpr("xxhash64(id) AS k")
+    table = bits.bit_table(keys, "k").value
+    own = np.array([r.k for r in keys.collect()])
+    assert len(bits.maybe(table, own)) == 5000
+    assert len(bits.maybe(table, own ^ 0x5555555555555)) < 50
+    rows = spark.range(1000).selectExpr("id", "id % 3 AS x")
+    kept = bits.only_maybe(rows, "id", rows.where("id < 10"))
+    assert kept.where("id < 10").count() == 10 and kept.count() < 30 and kept.columns == ["id", "x"]
+
+
 def test_smith_waterman_against_full_table():
     rng = np.random.default_rng(1)
     for _ in range(40):

@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -67,6 +68,13 @@ def test_tree_matching_is_maximal():
         assert len(markup.match_trees(*order)) == brute_match(*order)
 
 
+@pytest.mark.parametrize(("text", "kinds"), [
+    ("$$" + "x + y " * 1000 + "$$", {"latex"}), ("<!-- " + "c" * 30000 + " -->", {"html"}), ("**" + "a b " * 1500 + "c**", {"markdown"}), ("`" + "<b>x</b> " * 700 + "`", set()), ("Title\n--", {"markdown"}),
+    ("''" + "a b " * 1500 + "c''", {"wiki"}), ("_" + "a b " * 1500 + "c_", {"markdown"}), ("\\[ never closed " * 50, set())])
+def test_spans_of_any_length(text, kinds):
+    assert {t[2] for t in markup.scan(text)} == kinds
+
+
 def test_wrapper_finds_the_template_of_a_host(spark):
     nav = '<nav class="top"><a href="/h">Home</a></nav>\n'
     rows = [(f"i{k}", "host/a", None, nav + f"<p>Text number {k} of its own</p>", "heading") for k in range(12)] + [("n", None, "<b>h</b>", None, None), ("e", "host/b", "", "", "heading")]
@@ -79,6 +87,20 @@ def test_wrapper_finds_the_template_of_a_host(spark):
     assert markup.markup_kinds(df.limit(0)).count() == 0
 
 
+@pytest.fixture(scope="module")
+def model(spark):
+    """Border and words of a corpus of pages with menus, consent notices and text, in which no checked line stands as it is."""
+    notice = "We use cookies to {} on {}.\nAccept all\nReject"
+    menu = "Docs | Home | API | Blog\nSearch"
+    said = ["The worker sets a session token that expires after {} seconds, so the cache closes.", "If the option of the table fails, open the page of the entry and wait {} minutes.", "The reducer follows the heading and limits how many entries it may hold to {}."]
+    rows = []
+    for k in range(120):
+        body = "\n\n".join(s.format(k) for s in said)
+        top = notice.format(("measure traffic", "improve your visit", "remember you")[k % 3], f"Site{k % 7}") if k % 2 else menu
+        rows.append((f"i{k}", "f", None, f"{top}\n\n{body}\n\nEdit this page\n© 2021 Other Works. All rights reserved.", None))
+    return boilerplate.learn(chunks(spark, rows))
+
+
 @pytest.mark.parametrize(("text", "lines"), [
     ("Menu\nHome | Docs | API\n\nThe cache closes before the worker starts, so it waits.", [1, 2]),
     ("We use cookies to measure traffic on Velmora.\nAccept all\nThe token sets a session cookie that expires after 5 seconds.", [1, 2]),
@@ -86,8 +108,8 @@ def test_wrapper_finds_the_template_of_a_host(spark):
     ('<nav class="top">\n<a href="/a">A</a>\n</nav>\nText that is long enough to be a sentence of the page.', [1, 2, 3]),
     ("Reducer title\n---------\nText that follows the heading here.\n\n| a | b |\n|---|---|", []), ("```\nMenu\n```\n<!-- Data Table -->\nHome,Docs", []),
     ("© 2020 Some Works. All rights reserved.\nv9.1 ▾\n« Previous page\n★★★ 5 votes\nSearch Docs ...", [1, 2, 3, 4, 5]), ("", []), (None, []), (" \n\n", [])])
-def test_furniture_lines(text, lines):
-    assert boilerplate.furniture_lines(text) == lines
+def test_furniture_lines(text, lines, model):
+    assert boilerplate.furniture_lines(text, model) == lines
 
 
 def test_furniture_operator(spark):
@@ -99,7 +121,22 @@ def test_furniture_operator(spark):
 
 def test_smoothing_and_threshold():
     assert abs(sum(boilerplate.smooth([1.0] * 5)) - 5) < 1e-9
-    assert 10 < boilerplate.threshold([1, 2, 3, 100, 110]) < 100 and boilerplate.threshold([4.0, 4.0]) == 4.0
+    low, high, none = (np.bincount(x, minlength=boilerplate.STEPS) for x in ([5, 6, 7, 60], [60, 61, 70, 6], []))
+    step = boilerplate._TOP / boilerplate.STEPS
+    assert 8 * step < boilerplate.threshold(low, high) < 60 * step
+    assert boilerplate.threshold(none, high) == 0 and boilerplate.threshold(low, none) == boilerplate._TOP == boilerplate.threshold(low, none)
+    assert boilerplate.smooth([3.0]) == [3.0]
+
+
+def test_the_region_step_decides(spark):
+    """Without smoothing and border, other lines come out."""
+    import dataclasses
+
+    df = chunks(spark, [("a", "f", None, "Menu\n\nThe page is about the cache and its many workers.", None)])
+    m = boilerplate.learn(df)
+    text = "Menu\n\nThe page is about the cache and its many workers."
+    assert boilerplate.furniture_lines(text, m) == [1]
+    assert boilerplate.furniture_lines(text, dataclasses.replace(m, border=0.0)) == [] and boilerplate.furniture_lines(text, dataclasses.replace(m, border=9.0)) == [1, 3]
 
 
 @settings(max_examples=60, deadline=None)
@@ -141,6 +178,15 @@ def test_encoding_chains():
         assert encoding.ungarble(clean) is None
 
 
+@pytest.mark.parametrize("word", ["né", "日本語", "こんにちは", "العربية", "שלום", "देवनागरी", "😀", "한국어", "привет", "ελληνικά"])
+@pytest.mark.parametrize("name", ["cp1252", "latin-1", "mac-roman", "cp437", "cp1251"])
+def test_any_depth_and_script_is_taken_back(word, name):
+    bad = word
+    for _ in range(6):
+        bad = encoding.decode_as(bad.encode("utf-8"), name)
+        assert encoding._WORD.sub(lambda m: (encoding.ungarble(m.group()) or (m.group(),))[0], bad) == word
+
+
 def test_encoding_operator(spark):
     good = "Größe für żółty Każda może Настройка"
     docs = [(1, good), (2, "GrÃ¶ÃŸe ok"), (3, "Gr��e"), (4, "Ka¿da mo¿e"), (5, "├── a\n│ b √n 5 °C"), (6, None), (7, ""), (8, good), (9, "unseen: naÃ¯ve"), (10, good + " " + "x" * 100_000)]
