@@ -30,9 +30,6 @@ def _xml(code: str) -> bool:
 
 #: Signs of a language, tried in order.
 SIGNS = (
-    ("rust", r"\bfn\s+\w+\s*(<[^>]*>)?\([^)]*\)\s*(->|\{)|\blet\s+mut\b|\bimpl\b.*\{|\buse\s+std::"),
-    ("python", r"^\s*(def|class)\s+\w+.*:\s*$|^\s*(from\s+[\w.]+\s+)?import\s+\w+\s*$|^\s*print\("),
-    ("sql", r"^\s*(select\b.+\bfrom|insert\s+into|update\s+\w+\s+set|create\s+(table|view)|delete\s+from)\b"),
     ("bash", r"^#!.*\b(ba|z)?sh\b|^\s*(\$ |export\s+\w+=|sudo\s|curl\s|cd\s|grep\s|echo\s|cat\s|pip3?\s+install|npm\s|git\s)"),
     ("typescript", r"\binterface\s+\w+\s*\{|:\s*(string|number|boolean)\b.*[;,)=]"),
     ("javascript", r"\b(const|let|var)\s+\w+\s*=|\bfunction\s*\w*\s*\(|=>|\bconsole\.log\("),
@@ -41,14 +38,19 @@ SIGNS = (
     ("csharp", r"\busing\s+System\b|\bnamespace\s+\w+"),
     ("cpp", r"#include\s*<\w+>|\bstd::\w+"),
     ("c", r"#include\s*[<\"]\w+\.h|\bint\s+main\s*\("),
+    ("python", r"^\s*(def|class)\s+\w+.*:\s*$|^\s*(from\s+[\w.]+\s+)?import\s+\w+\s*$|^\s*print\("),
+    ("sql", r"^\s*(select\b.+\bfrom|insert\s+into|update\s+\w+\s+set|create\s+(table|view)|delete\s+from)\b"),
+    ("rust", r"\bfn\s+\w+\s*(<[^>]*>)?\([^)]*\)\s*(->|\{)|\blet\s+mut\b|\bimpl\b.*\{|\buse\s+std::"),
 )
 _SIGNS = tuple((name, re.compile(p, re.M | re.I if name in ("sql",) else re.M)) for name, p in SIGNS)
 
 
 def detect_language(code: str) -> str:
-    """JSON, then markup, then the first language whose signs appear; ``text`` if none."""
+    """JSON, then interchange files and markup, then shell, script, style and C-like languages, then others by their signs; ``text`` if none."""
     if _json(code.strip()) is not None:
         return "json"
+    if re.search(r"^\s*<MIFFile\b", code, re.M):
+        return "mif"
     if _xml(code):
         return "html" if re.match(r"\s*<(!doctype html|html|head|body|div|p|ul|table|a)\b", code, re.I) else "xml"
     return next((name for name, rx in _SIGNS if rx.search(code)), "text")
@@ -132,7 +134,7 @@ _PY_START = re.compile(r"^(async\s+)?def\s+\w+")
 _JS_START = re.compile(r"^\s*(export\s+)?(default\s+)?(async\s+)?function\b|^\s*(export\s+)?(const|let|var)\s+\w+\s*=\s*(async\s*)?(\([^)]*\)|\w+)\s*=>|^\s*(export\s+)?(const|let|var)\s+\w+\s*=\s*(async\s+)?function\b|^\s*\w+\s*\([^)]*\)\s*\{\s*$")
 
 
-def _split_at(code: str, start: re.Pattern, comment: str, keep_head: bool) -> list[str]:
+def _split_at(code: str, start: re.Pattern, comment: str | tuple[str, ...], keep_head: bool) -> list[str]:
     lines = code.split("\n")
     cuts = []
     for i, line in enumerate(lines):
@@ -153,5 +155,5 @@ def split_code(code: str, language: str = "", keep_head: bool = False) -> list[s
     if lang in ("python", "py"):
         return _split_at(code, _PY_START, "#", keep_head)
     if lang in ("javascript", "typescript", "js", "ts"):
-        return _split_at(code, _JS_START, "//", keep_head)
+        return _split_at(code, _JS_START, ("//", "/*", "*"), keep_head)
     return [code]

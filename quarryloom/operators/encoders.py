@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -51,3 +52,44 @@ def encode(df: DataFrame, text: str, into: str, encoder: str = "hashed_words", d
 
     coded = df.where(F.col(text).isNotNull()).select(text).distinct().withColumn(into, run(F.col(text)))
     return df.join(coded, text, "left")
+
+
+_SCORERS: dict[str, Callable[[], Callable[[pd.Series, pd.Series], list[float]]]] = {}
+
+
+def register_scorer(name: str, factory: Callable[[], Callable[[pd.Series, pd.Series], list[float]]]) -> None:
+    _SCORERS[name] = factory
+
+
+def _word_overlap() -> Callable[[pd.Series, pd.Series], list[float]]:
+    """The offline default: the share of the query's distinct words that the candidate has."""
+
+    def run(queries: pd.Series, candidates: pd.Series) -> list[float]:
+        out = []
+        for q, c in zip(queries, candidates, strict=True):
+            wanted = {w for w in _SPACE.split((q or "").lower()) if w}
+            has = {w for w in _SPACE.split((c or "").lower()) if w}
+            out.append(len(wanted & has) / len(wanted) if wanted else 0.0)
+        return out
+
+    return run
+
+
+#: As ``functions.text.tokens`` splits.
+_SPACE = re.compile(r"[ \t\n\x0b\f\r]+")
+register_scorer("word_overlap", _word_overlap)
+
+
+def score_pairs(pairs: DataFrame, query: str, candidate: str, into: str, scorer: str = "word_overlap") -> DataFrame:
+    """Adds a scorer's value for each pair of texts, in Arrow batches; null texts count as empty, unknown scorers raise."""
+    if scorer not in _SCORERS:
+        raise ValueError(f"unknown scorer: {scorer}")
+    factory = _SCORERS[scorer]
+
+    @F.pandas_udf("double")
+    def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        model = factory()
+        for q, c in batches:
+            yield pd.Series(model(q, c), dtype=float)
+
+    return pairs.withColumn(into, run(F.col(query), F.col(candidate)))

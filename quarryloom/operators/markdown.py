@@ -117,14 +117,17 @@ def drop_short_sections(text: str, min_words: int) -> str:
 
 
 def fill_empty_h1(text: str) -> str:
-    """An H1 without body gets a sentence and a bullet for each later H2."""
-    s = sections_of(text)
-    for i, (h, n, b) in enumerate(s):
-        if n == 1 and not b.strip():
-            later = [x[0] for x in s[i + 1 :] if x[1] == 2]
-            if later:
-                s[i] = (h, n, f"\nFor information about {h}, see the following:\n\n" + "\n".join(f"- {x}" for x in later) + "\n")
-    return _rebuild(s)
+    """The first H1, where nothing but blank lines stands before the next H2, gets a sentence and a bullet for each later H2."""
+    lines = text.split("\n")
+    titles = [re.match(r"(#{1,2})[ \t]+(\S.*)$", x) for x in lines]
+    top = next((i for i, m in enumerate(titles) if m and m.group(1) == "#"), None)
+    if top is None:
+        return text
+    below = [i for i in range(top + 1, len(lines)) if titles[i] and titles[i].group(1) == "##"]
+    if not below or any(x.strip() for x in lines[top + 1 : below[0]]):
+        return text
+    bullets = [f"- {titles[i].group(2).strip()}" for i in below]
+    return "\n".join([*lines[: top + 1], "", f"For information about {titles[top].group(2).strip()}, see the following:", "", *bullets, "", "", *lines[top + 1 :]])
 
 
 def ensure_h1(text: str) -> str:
@@ -176,13 +179,16 @@ def deindent_lists(text: str) -> str:
 
 
 def blank_after_headings(text: str) -> str:
+    """A blank line between a heading and a paragraph, and a line end after a heading that ends the text; before headings and fences none."""
     lines = text.split("\n")
     fenced = fence_lines(lines)
     out = []
     for i, line in enumerate(lines):
         out.append(line)
-        if not fenced[i] and _ATX.match(line) and i + 1 < len(lines) and lines[i + 1].strip():
-            out.append("")
+        if not fenced[i] and re.match(r"#{1,6}[ \t]+\S", line):
+            follows = lines[i + 1] if i + 1 < len(lines) else None
+            if follows is None or (follows.strip() and not follows.lstrip().startswith("#") and not follows.startswith("```")):
+                out.append("")
     return "\n".join(out)
 
 
@@ -224,13 +230,14 @@ def clean_documents(docs: DataFrame, column: str = "text", rules: list[tuple[str
 
 
 def merge_metadata(base: dict[str, str | None], page: dict[str, str]) -> dict[str, str]:
-    """Page front matter over catalogue metadata: titles are joined, the description replaced, other keys become ``k=v`` tags, each once in order."""
+    """Page front matter over catalogue metadata: titles are joined, the description replaced, other keys become ``k=v`` tags, each once in order. Tags are separated by commas, bars or semicolons; values lose their commas."""
     out = {k: (v or "") for k, v in base.items()}
     title = page.get("title", "")
     if title and title not in out.get("title", "").split(" - "):
         out["title"] = f"{out['title']} - {title}" if out.get("title") else title
     if page.get("description"):
         out["description"] = page["description"]
-    tags = [t.strip() for t in out.get("tags", "").split(",") if t.strip()] + [f"{k}={v}" for k, v in page.items() if k not in ("title", "description") and v]
+    kept = re.split(r"[,|;]", out.get("tags", "")) if out.get("tags", "").strip() != "[]" else []
+    tags = [t.strip() for t in kept if t.strip()] + [f"{k}={v.replace(',', ' ').strip()}" for k, v in page.items() if k not in ("title", "description") and v]
     out["tags"] = ", ".join(dict.fromkeys(tags))
     return out

@@ -1,7 +1,7 @@
 """Positive pairs, negatives by difficulty, balances and triplets from chunks.
 
 Chunks come as ``id, pos, filename, parent_id, category, path (segments), heading, words``. All choices "at random" are
-made by hash order, so they repeat. No group is paired in full: each strategy takes the first few of a group.
+made by hash order, so they repeat. Positive pairs take the first few of a group; negatives are looked for in all of it.
 """
 
 from __future__ import annotations
@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from quarryloom.functions import text as T
 from quarryloom.operators.ranking import first_per_group, hash_order
+from quarryloom.operators.rings import first_fitting, ring
+from quarryloom.runtime import cut
 
 EASY_MAX, MEDIUM, HARD_MAX = 0.65, (0.0, 1.0), 1.0
 
@@ -77,69 +79,140 @@ def balance(rows: DataFrame, key: str, ratios: dict[str, float], order: list[str
     return whole.unionByName(edge).drop("__h", "__b", "__n", "__left")
 
 
-def easy_negatives(anchors: DataFrame, chunks: DataFrame, pool: int = 64, seed: int = 0) -> DataFrame:
-    """``anchor, negative``: a chunk of another category and another top heading, by hash order.
+#: Thresholds of the strategies.
+MEDIUM_PATH, MEDIUM_FILE_PATH, MEDIUM_WORDS = (0.2, 0.5), 0.3, (0.15, 0.4)
+HARD_PATH, HARD_WORDS, HARD_TOP = 0.35, 0.20, 20
+CROSS_SHARE, SAME_SHARE = 0.3, 0.7
+TABLES_PER_HEADING = 3
+#: Negatives chosen per anchor, so that one is left when the positive and an easier negative are excluded.
+CHOICES = 3
+#: Anchors of one scope that one task compares with the scope's chunks.
+ANCHORS_PER_TASK = 2_000
 
-    The candidates are ``pool`` chunks of each category (a sample by hash, as the operator's feature is a random choice);
-    an anchor looks through the pools of other categories in its own hash order and takes the first that fits.
-    """
-    a = anchors.select(F.col("id").alias("anchor"), F.col("category").alias("acat"), F.col("top").alias("atop"))
-    p = first_per_group(chunks.select("id", "category", "top").withColumn("h", hash_order("id", seed=seed)), ["category"], ["h", "id"], pool)
-    heads = p.groupBy("category").agg(F.array_sort(F.collect_list(F.struct("h", "id", "top"))).alias("members"))  # at most pool a category
-    cats = heads.agg(F.sort_array(F.collect_list("category")).alias("names"))
-    picked = a.crossJoin(F.broadcast(cats)).withColumn("others", F.filter("names", lambda n: n != F.col("acat"))).where(F.size("others") > 0).select(
-        "anchor", "atop", F.element_at("others", (F.pmod(F.xxhash64("anchor", F.lit(seed)), F.size("others")) + 1).cast("int")).alias("category"))
-    chosen = picked.join(heads, "category")
-    fits = F.filter("members", lambda m: m["top"] != F.col("atop"))
-    return chosen.where(F.size(fits) > 0).select("anchor", F.element_at(fits, (F.pmod(F.xxhash64("anchor", F.lit(seed + 1)), F.size(fits)) + 1).cast("int"))["id"].alias("negative"))
-
-
-def scoped_negatives(anchors: DataFrame, chunks: DataFrame, scope: str, low: float, high: float, window: int = 20, seed: int = 0, prefer: str = "hash") -> DataFrame:
-    """``anchor, negative, path_jaccard, word_jaccard``: a chunk of the anchor's ``scope`` whose combined similarity lies in [low, high].
-
-    Candidates of an anchor are the ``window`` chunks after it (circularly by rank) in the scope's hash order, so a hot
-    scope costs ``window`` rows an anchor and never all its pairs. ``prefer``: "hash" takes the first in hash order,
-    "best" the most similar (0.6 path + 0.4 words).
+
+def easy_negatives(anchors: DataFrame, chunks: DataFrame, seed: int = 0) -> DataFrame:
+    """``anchor, negative, tier, choice``: chunks under another top heading, by hash order, at most ``CHOICES`` an anchor.
+
+    Tier 1 also lies in another category, 2 in another file, 3 only under another heading. Which tier an anchor can get
+    follows from counts, so none looks further than it must. An anchor has no row only if all chunks share its heading.
     """
-    order = hash_order("id", seed=seed)
-    bucketed = chunks.select("id", scope, "path", "words", "heading").withColumn("h", order).withColumn("slot", F.pmod(F.xxhash64("id"), F.lit(1 << 30)))
-    # Rank ranges of 1024 rows: position within (scope, range) by hash; neighbours are sought within the range.
-    sizes = bucketed.groupBy(scope).agg(F.count(F.lit(1)).alias("n"))
-    ranged = bucketed.join(sizes, scope).withColumn("part", F.pmod(F.col("slot"), F.ceil(F.col("n") / 1024.0).cast("bigint")))
-    w = Window.partitionBy(scope, "part")
-    ranked = ranged.withColumn("rn", F.row_number().over(w.orderBy("h", "id"))).withColumn("m", F.count(F.lit(1)).over(w))
-    a = ranked.join(anchors.select("id").distinct(), "id", "left_semi").select(
-        F.col("id").alias("anchor"), scope, "part", F.col("path").alias("apath"), F.col("words").alias("awords"), F.lower("heading").alias("ahead"), "rn", "m")
-    offs = F.sequence(F.lit(1), F.least(F.lit(window), F.col("m") - 1).cast("int"))
-    a = a.where("m > 1").withColumn("off", F.explode(offs)).withColumn("rn", F.pmod(F.col("rn") + F.col("off") - 1, F.col("m")) + 1).drop("m")
-    b = ranked.select(F.col("id").alias("negative"), scope, "part", F.col("rn"), "path", "words", F.lower("heading").alias("head"))
-    met = a.join(b, [scope, "part", "rn"]).where(~F.col("ahead").eqNullSafe(F.col("head")))
-    met = met.withColumn("path_jaccard", T.jaccard(F.col("apath"), F.col("path"))).withColumn("word_jaccard", T.jaccard(F.col("awords"), F.col("words")))
-    score = 0.6 * F.col("path_jaccard") + 0.4 * F.col("word_jaccard")
-    met = met.withColumn("score", score).where(F.col("score").between(low, high))
-    best = [F.desc("score"), "off"] if prefer == "best" else ["off"]
-    return first_per_group(met, ["anchor"], [*best, "negative"], 1).select("anchor", "negative", "path_jaccard", "word_jaccard")
+    c = chunks.select("id", "category", "filename", "top", F.lit(0).alias("all"))
+    r = ring(c, "all", seed=seed)
+    for name, keys in (("top", ["top"]), ("category", ["category"]), ("filename", ["filename"]), ("category_top", ["category", "top"]), ("filename_top", ["filename", "top"])):
+        n = r.groupBy(*[F.col(k).alias(f"__{k}") for k in keys]).agg(F.count(F.lit(1)).alias(f"n_{name}"))
+        cond = F.lit(True)
+        for k in keys:
+            cond = cond & F.col(k).eqNullSafe(F.col(f"__{k}"))
+        r = r.join(n, cond).drop(*[f"__{k}" for k in keys])
+    total = F.col("n")
+    goal = F.when(total - F.col("n_category") - F.col("n_top") + F.col("n_category_top") > 0, 1).when(
+        total - F.col("n_filename") - F.col("n_top") + F.col("n_filename_top") > 0, 2).when(total - F.col("n_top") > 0, 3)
+    r = cut(r.withColumn("goal", goal).select("id", "category", "filename", "top", "all", "rn", "n", "goal"))
+
+    def tier(a: str, c: str) -> Column:
+        differs = lambda f: ~F.col(f"{a}.{f}").eqNullSafe(F.col(f"{c}.{f}"))
+        return F.when(differs("top"), F.when(differs("category"), 1).when(differs("filename"), 2).otherwise(3))
+
+    mine = r.where("goal IS NOT NULL").join(anchors.select("id").distinct(), "id", "left_semi")
+    return first_fitting(mine, r.drop("goal"), "all", tier, k=1, goal="goal").select("anchor", "negative", "tier", "choice")
+
+
+def _leaf(path: Column, heading: Column) -> Column:
+    return F.coalesce(F.lower(T.blank_to_null(heading)), F.try_element_at(path, F.lit(-1)), F.lit(""))
 
 
 def medium_negatives(anchors: DataFrame, chunks: DataFrame, seed: int = 0) -> DataFrame:
-    """Same top heading, moderately similar."""
-    return scoped_negatives(anchors, chunks, "top", 0.1, 0.5, seed=seed)
+    """``anchor, negative, tier, choice``: chunks under the same top heading, in hash order, at most ``CHOICES`` an anchor.
+
+    Tier 1: paths alike by 0.2 to 0.5, or by less than 0.3 within one file; 3: first words alike by 0.15 to 0.4; 5: any.
+    Each first with another leaf heading; 2, 4 and 6 are the same with the anchor's own. Of the tables under one heading
+    only ``TABLES_PER_HEADING`` take part. Anchors alone under their heading have no row here.
+    """
+    c = chunks.select("id", "filename", "top", "path", "words", _leaf(F.col("path"), F.col("heading")).alias("leaf"), F.coalesce(F.lower("chunk_type"), F.lit("")).alias("kind"))
+    tables = first_per_group(c.where("kind = 'table'").select("top", "id").withColumn("h", hash_order("id", seed=seed)), ["top"], ["h", "id"], TABLES_PER_HEADING).select("id", F.lit(True).alias("listed"))
+    c = c.join(tables, "id", "left").withColumn("allowed", (F.col("kind") != "table") | F.coalesce("listed", F.lit(False))).drop("kind", "listed")
+    r = cut(ring(c, "top", seed=seed))
+
+    def tier(a: str, c: str) -> Column:
+        p = F.when((F.size(f"{a}.path") > 0) & (F.size(f"{c}.path") > 0), T.jaccard(F.col(f"{a}.path"), F.col(f"{c}.path")))
+        w = F.when((F.size(f"{a}.words") > 0) & (F.size(f"{c}.words") > 0), T.jaccard(F.col(f"{a}.words"), F.col(f"{c}.words")))
+        by_path = p.between(*MEDIUM_PATH) | ((p < MEDIUM_FILE_PATH) & F.col(f"{a}.filename").eqNullSafe(F.col(f"{c}.filename")))
+        same = (F.col(f"{a}.leaf") == F.col(f"{c}.leaf")).cast("int")
+        return F.when(F.col(f"{c}.allowed"), F.when(F.coalesce(by_path, F.lit(False)), 1).when(F.coalesce(w.between(*MEDIUM_WORDS), F.lit(False)), 3).otherwise(5) + same)
+
+    mine = r.join(anchors.select("id").distinct(), "id", "left_semi")
+    return first_fitting(mine, r, "top", tier, k=CHOICES).select("anchor", "negative", "tier", "choice")
 
 
 def hard_negatives(anchors: DataFrame, chunks: DataFrame, seed: int = 0) -> DataFrame:
-    """Same file, the most similar of the candidates."""
-    return scoped_negatives(anchors, chunks, "filename", 0.05, HARD_MAX, seed=seed + 1, prefer="best")
+    """``anchor, negative, tier, score, choice``: the most confusable chunks under the same top heading, at most ``CHOICES`` an anchor.
+
+    Tier 1: paths alike by 0.35 or first words by 0.2, of which the ``HARD_TOP`` best by 0.6 path + 0.4 words stand for
+    a choice by hash; 2: of the same category, 3: any. For ``CROSS_SHARE`` of all anchors, evenly spread in hash order,
+    those of another category come first. Every anchor is compared with all chunks of its scope, in blocks of
+    ``ANCHORS_PER_TASK`` anchors: exact, at a cost that grows with the square of a scope, and never in one task.
+    """
+    c = chunks.select("id", "category", "top", "path", "words")
+    ranked = ring(c.select("id", F.lit(0).alias("all")), "all", seed=seed).select("id", "rn")
+    need = F.floor(F.col("rn") * CROSS_SHARE) > F.floor((F.col("rn") - 1) * CROSS_SHARE)
+    blocks = F.greatest(F.ceil(F.col("size") / ANCHORS_PER_TASK), F.lit(1)).cast("int")
+    sizes = c.groupBy("top").agg(F.count(F.lit(1)).alias("size"))
+    a = c.join(anchors.select("id").distinct(), "id", "left_semi").join(ranked, "id").join(sizes, "top").select(
+        F.col("id").alias("anchor"), "top", F.pmod(F.xxhash64("id"), blocks).cast("int").alias("block"), F.col("path").alias("apath"), F.col("words").alias("awords"), F.col("category").alias("acategory"), need.alias("need"))
+    b = c.join(sizes, "top").select(F.col("id").alias("negative"), "top", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"), "path", "words", "category")
+    p = F.when((F.size("apath") > 0) & (F.size("path") > 0), T.jaccard(F.col("apath"), F.col("path"))).otherwise(0.0)
+    w = F.when((F.size("awords") > 0) & (F.size("words") > 0), T.jaccard(F.col("awords"), F.col("words"))).otherwise(0.0)
+    met = a.join(b, ["top", "block"]).where("anchor <> negative").withColumn("p", p).withColumn("w", w)
+    met = met.withColumn("cross", F.col("need") & (F.col("category") != F.col("acategory"))).withColumn(
+        "tier", F.when((F.col("p") >= HARD_PATH) | (F.col("w") >= HARD_WORDS), 1).when(F.col("category") == F.col("acategory"), 2).otherwise(3))
+    met = met.withColumn("score", F.when(F.col("tier") == 1, F.round(0.6 * F.col("p") + 0.4 * F.col("w"), 9)).otherwise(0.0)).select("anchor", "negative", "tier", "score", "cross")
+    best = first_per_group(met, ["anchor"], ["tier", F.desc("cross"), F.desc("score"), "negative"], HARD_TOP)
+    order = hash_order("anchor", "negative", seed=seed)
+    choice = F.row_number().over(Window.partitionBy("anchor").orderBy("tier", F.desc("cross"), order))
+    return best.withColumn("choice", choice).where(F.col("choice") <= CHOICES).select("anchor", "negative", "tier", "score", "choice")
+
+
+def negative_pairs(pairs: DataFrame, chunks: DataFrame, ratio: int = 2, seed: int = 0) -> DataFrame:
+    """``anchor, positive, negative, pair_type``: ``ratio`` negatives for each positive pair, of another category where there
+    is one, else of another file, else any other chunk; the next that fit in the ring, never the positive.
+    """
+    r = cut(ring(chunks.select("id", "category", "filename", F.lit(0).alias("all")), "all", seed=seed))
+    kinds = r.agg(F.min("category").alias("c1"), F.max("category").alias("c2"), F.min("filename").alias("f1"), F.max("filename").alias("f2"))
+    r = cut(r.crossJoin(kinds).withColumn("goal", F.when(F.col("c1") < F.col("c2"), 1).when(F.col("f1") < F.col("f2"), 2).otherwise(3)).drop("c1", "c2", "f1", "f2"))
+
+    def tier(a: str, c: str) -> Column:
+        differs = lambda f: ~F.col(f"{a}.{f}").eqNullSafe(F.col(f"{c}.{f}"))
+        return F.when(differs("category"), 1).when(differs("filename"), 2).otherwise(3)
+
+    mine = r.join(pairs.select(F.col("anchor").alias("id")).distinct(), "id", "left_semi")
+    found = first_fitting(mine, r.drop("goal"), "all", tier, k=ratio + 1, goal="goal")
+    met = pairs.select("anchor", "positive", "pair_type").distinct().join(found, "anchor").where("negative <> positive")
+    rank = F.row_number().over(Window.partitionBy("anchor", "positive", "pair_type").orderBy("choice"))
+    kind = F.element_at(F.array(F.lit("cross_domain"), F.lit("diff_file"), F.lit("random")), F.col("tier"))
+    return met.withColumn("rank", rank).where(F.col("rank") <= ratio).select("anchor", "positive", "negative", F.concat_ws("_", F.lit("negative"), kind, "pair_type").alias("pair_type"))
+
+
+def same_source_mix(pairs: DataFrame, chunks: DataFrame, share: float = SAME_SHARE) -> DataFrame:
+    """Per anchor category: pairs, those within the category and across, how many of each fill the target share, and how
+    many of the rest are taken back so that none is lost (the feature reorders pairs, it drops none)."""
+    c = chunks.select("id", "category")
+    named = pairs.join(c.select(F.col("id").alias("anchor"), "category"), "anchor").join(c.select(F.col("id").alias("positive"), F.col("category").alias("other")), "positive")
+    per = named.groupBy("category").agg(F.count(F.lit(1)).alias("pairs"), F.count_if(F.col("category") == F.col("other")).alias("same"))
+    per = per.withColumn("cross", F.col("pairs") - F.col("same")).withColumn("same_taken", F.least("same", F.floor(F.col("pairs") * share)))
+    per = per.withColumn("cross_taken", F.least("cross", F.col("pairs") - F.col("same_taken")))
+    return per.withColumn("backfilled", F.col("pairs") - F.col("same_taken") - F.col("cross_taken"))
 
 
 def triplets(pairs: DataFrame, negatives: DataFrame, vectors: DataFrame, difficulty: str, low: float, high: float) -> DataFrame:
-    """``anchor, positive, negative, pair_type, difficulty, cosine, kept``: the cosine gate keeps missing vectors, as they can't be judged."""
+    """``anchor, positive, negative, pair_type, difficulty, cosine, kept``: the anchor's first choice that isn't the positive; the cosine gate keeps missing vectors, as they can't be judged."""
     from quarryloom.functions import vectors as V
 
     v = vectors.select("id", "embedding").where(V.valid(F.col("embedding"), 48))
-    t = pairs.join(negatives.select("anchor", "negative"), "anchor").where("negative <> positive")
+    t = pairs.join(negatives.select("anchor", "negative", "choice"), "anchor").where("negative <> positive")
+    t = t.withColumn("__c", F.min("choice").over(Window.partitionBy("anchor", "positive", "pair_type"))).where("choice = __c").drop("choice", "__c").distinct()
     t = t.join(v.select(F.col("id").alias("anchor"), F.col("embedding").alias("va")), "anchor", "left").join(v.select(F.col("id").alias("negative"), F.col("embedding").alias("vn")), "negative", "left")
     cos = V.cosine(F.col("va"), F.col("vn"))
-    return t.select("anchor", "positive", "negative", "pair_type", F.lit(difficulty).alias("difficulty"), cos.alias("cosine")).withColumn("kept", F.coalesce(F.col("cosine").between(low, high), F.lit(True)))
+    return t.select("anchor", "positive", "negative", "pair_type", F.lit(difficulty).alias("difficulty"), cos.alias("cosine")).withColumn("kept", F.coalesce(F.round("cosine", 9).between(low, high), F.lit(True)))
 
 
 def cross_encoder_pairs(triplet_rows: DataFrame) -> DataFrame:

@@ -24,15 +24,22 @@ def enumerate_rows(df: DataFrame, order: list[str], name: str = "row") -> DataFr
 
 
 def link_prev_next(chunks: DataFrame, scope: str = "file") -> DataFrame:
-    """Adds ``prev`` and ``next`` ids by (pos, id), within each file or across the whole corpus."""
-    if scope == "file":
-        w = Window.partitionBy("filename").orderBy("pos", "id")
-        return chunks.withColumn("prev", F.lag("id").over(w)).withColumn("next", F.lead("id").over(w))
-    base = _ranged(chunks, ["pos", "id"])
-    w = Window.partitionBy("__part").orderBy("pos", "id")
-    key = F.struct("pos", "id")
-    ends = base.groupBy("__part").agg(F.min_by("id", key).alias("__first"), F.max_by("id", key).alias("__last"))  # a row per range
+    """Adds ``prev`` and ``next`` ids by (pos, id), within each file or across the whole corpus.
+
+    Both ways rows are range-partitioned, so that no task holds a file; within files, links across a change of
+    ``filename`` are nulled.
+    """
+    order = ["pos", "id"] if scope != "file" else ["filename", "pos", "id"]
+    base = _ranged(chunks, order)
+    w = Window.partitionBy("__part").orderBy(*order)
+    own = F.struct("id", *(["filename"] if scope == "file" else []))
+    key = F.struct(*order)
+    ends = base.groupBy("__part").agg(F.min_by(own, key).alias("__first"), F.max_by(own, key).alias("__last"))  # a row per range
     o = Window.orderBy("__part")
     ends = ends.select("__part", F.lag("__last").over(o).alias("__prev"), F.lead("__first").over(o).alias("__next"))
-    out = base.withColumn("prev", F.lag("id").over(w)).withColumn("next", F.lead("id").over(w)).join(F.broadcast(ends), "__part")
-    return out.select(*chunks.columns, F.coalesce("prev", "__prev").alias("prev"), F.coalesce("next", "__next").alias("next"))
+    out = base.withColumn("__p", F.lag(own).over(w)).withColumn("__n", F.lead(own).over(w)).join(F.broadcast(ends), "__part")
+    links = []
+    for name, near, far in (("prev", "__p", "__prev"), ("next", "__n", "__next")):
+        link = F.coalesce(near, far)
+        links.append((F.when(link["filename"].eqNullSafe(F.col("filename")), link["id"]) if scope == "file" else link["id"]).alias(name))
+    return out.select(*chunks.columns, *links)

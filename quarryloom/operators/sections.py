@@ -8,7 +8,7 @@ import unicodedata
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarryloom.operators.code import code_spans, detect_language, split_code
@@ -52,6 +52,13 @@ def parse_heading(line: str) -> tuple[str, int]:
     return (m.group(2), len(m.group(1))) if m else ("", 999)
 
 
+def heading_of(line: Column) -> Column:
+    """Struct of ``heading`` and ``level`` of a line; ("", 999) for a line that is none. As ``parse_heading``, in the JVM."""
+    rx = r"^(#{1,6})\s+(.+?)\s*#*\s*$"
+    bare = F.regexp_replace(line, r"^\s+|\s+$", "")
+    return F.struct(F.regexp_extract(bare, rx, 2).alias("heading"), F.when(bare.rlike(rx), F.length(F.regexp_extract(bare, rx, 1))).otherwise(999).alias("level"))
+
+
 _BLOCK = "array<struct<heading:string,level:int,content:string>>"
 
 
@@ -156,9 +163,8 @@ def subtree_tokens(sections: DataFrame) -> DataFrame:
 
 
 def duplicate_headings(blocks: DataFrame) -> DataFrame:
-    """Headings that occur more than once under one parent path: ``file, parent_path, heading, level, places``."""
-    parent = F.regexp_replace("concat_header_path", r" > [^>]*$|^[^>]*$", "")
-    return blocks.groupBy("file", parent.alias("parent_path"), "heading", "level").agg(F.sort_array(F.collect_list("seq")).alias("places")).where(F.size("places") > 1)
+    """Headings that occur more than once under one parent: ``file, parent_seq, heading, level, places``; top headings have a null parent."""
+    return blocks.groupBy("file", "parent_seq", "heading", "level").agg(F.sort_array(F.collect_list("seq")).alias("places")).where(F.size("places") > 1)
 
 
 def _toc_norm(s: str) -> str:
@@ -180,7 +186,7 @@ def headings_from_toc(text: str, toc: list[tuple[int, str]], cutoff: float = 0.9
         key = _toc_norm(bare) if bare and not fenced and len(bare) <= longest else ""
         hit = None
         if key:
-            for k in range(at, min(at + 5, len(entries))):
+            for k in range(at, len(entries)):
                 if entries[k][2] == key or difflib.SequenceMatcher(None, entries[k][2], key).ratio() >= cutoff:
                     hit = k
                     break

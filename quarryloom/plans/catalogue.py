@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from quarryloom.operators.forest import chunk_forest, descendants, hierarchy_defects
-from quarryloom.plans import document_queries, relational_queries, scalar_queries  # noqa: F401  (register their queries)
+from quarryloom.plans import document_queries, evaluation_queries, relational_queries, scalar_queries  # noqa: F401  (register their queries)
 from quarryloom.plans.registry import ORACLE_SQL, QUERIES
 from quarryloom.runtime import read_table
 

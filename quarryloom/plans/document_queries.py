@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from quarryloom.functions import text as T
 from quarryloom.operators import code, markdown, sections, summaries, tables
 from quarryloom.operators.forest import chunk_forest
+from quarryloom.plans import document_sql as S
 from quarryloom.plans.registry import CHUNKS, chunks, query
 from quarryloom.plans.relational_queries import tok_sql
 from quarryloom.plans.scalar_queries import strip_sql, valid_sql
@@ -23,29 +24,36 @@ def _docs(spark, d):
 # --- cleaning, code, tables ------------------------------------------------------------------------------------------
 
 
-def _step(name: str, *steps):
-    @query(name)
+def _step(name: str, *steps, sql: str | None = None):
+    @query(name, sql)
     def run(spark, d):
         return _docs(spark, d).select("doc_id", markdown.text_udf(*steps)(F.col("text")).alias("text"))
 
     return run
 
 
-_step("q_m1_drop_before_h1", markdown.drop_before_h1)
-_step("q_m2_drop_furniture_sections", markdown.drop_furniture_sections)
-_step("q_m3_blank_short_sections", markdown.blank_short_sections)
-_step("q_m4_fill_empty_h1", markdown.fill_empty_h1)
-_step("q_m5_ensure_h1", markdown.ensure_h1)
-_step("q_m6_strip_heading_numbers", markdown.strip_heading_numbers)
+_step("q_m1_drop_before_h1", markdown.drop_before_h1, sql=S.M1)
+_step("q_m2_drop_furniture_sections", markdown.drop_furniture_sections, sql=S.M2)
+_step("q_m3_blank_short_sections", markdown.blank_short_sections, sql=S.M3)
+_step("q_m4_fill_empty_h1", markdown.fill_empty_h1, sql=S.M4)
+_step("q_m6_strip_heading_numbers", markdown.strip_heading_numbers, sql=S.M6)
 _step("q_m7_annotate_fences", code.annotate_fences)
-_step("q_m8_strip_line_numbers", markdown.strip_line_numbers)
-_step("q_m10_drop_short_sections", lambda t: markdown.drop_short_sections(t, 5))
-_step("q_m11_blank_after_headings", markdown.blank_after_headings)
-_step("q_m12_m13_unwrap_comments", markdown.unwrap_comments)
+_step("q_m8_strip_line_numbers", markdown.strip_line_numbers, sql=S.M8)
+_step("q_m10_drop_short_sections", lambda t: markdown.drop_short_sections(t, 5), sql=S.M10)
+_step("q_m11_blank_after_headings", markdown.blank_after_headings, sql=S.M11)
+_step("q_m12_m13_unwrap_comments", markdown.unwrap_comments, sql=S.M12)
 _step("q_c3_c4_c5_c9_format_fences", code.format_fences)
-_step("q_t1_html_tables", tables.html_tables_to_csv)
+_step("q_t1_html_tables", tables.html_tables_to_csv, sql=S.T1)
 _step("q_t10_move_error_tables", tables.move_error_tables)
 
+
+@query("q_m5_ensure_h1", S.M5)
+def m5(spark, d):
+    """Texts with their title as front matter."""
+    head = F.concat(F.lit("---\ntitle: "), "title", F.lit("\n---\n"), "text")
+    return _docs(spark, d).where(F.col("title").isNotNull()).select("doc_id", markdown.text_udf(markdown.ensure_h1)(head).alias("text"))
+
+
 _RULES = [(r"[ \t]+\n", "\n", ""), (r"\n{3,}", "\n\n", ""), (r"(\d+) rows", r"\1 lines", "I")]
 
 
@@ -59,7 +67,7 @@ def clean(spark, d):
     return markdown.clean_documents(_docs(spark, d).select("doc_id", "text"), rules=_RULES)
 
 
-@query("q_m16_m17_m18_metadata")
+@query("q_m16_m17_m18_metadata", S.M16)
 def m16(spark, d):
     """Catalogue metadata merged with a page's front matter, as a front matter block."""
     c = read_table(spark, d, "catalogue")
@@ -97,7 +105,7 @@ def c6(spark, d):
 
 @query("q_t2_pipe_tables")
 def t2(spark, d):
-    return chunks(spark, d, "content").where(F.col("content").contains("|---")).select("id", markdown.text_udf(tables.pipe_tables_to_csv)(F.col("content")).alias("content"))
+    return chunks(spark, d, "content").select("id", markdown.text_udf(tables.pipe_tables_to_csv)(F.col("content")).alias("content"))
 
 
 @query("q_t3_t4_t5_table_spans")
@@ -134,12 +142,12 @@ def _blocks(spark, d):
     return sections.explode_blocks(_docs(spark, d).select(F.col("doc_id").cast("string").alias("path"), "text"))
 
 
-@query("q_g1_heading_blocks")
+@query("q_g1_heading_blocks", S.G1)
 def g1(spark, d):
     return _blocks(spark, d)
 
 
-@query("q_g2_report_sections")
+@query("q_g2_report_sections", S.G2)
 def g2(spark, d):
     @F.pandas_udf("array<struct<level:int,title:string,words:int>>")
     def parse(s: pd.Series) -> pd.Series:
@@ -167,9 +175,11 @@ def g5(spark, d):
     return chunks(spark, d, "content").select(F.explode(tags).alias("tag")).groupBy("tag").agg(F.count(F.lit(1)).alias("fences"))
 
 
-@query("q_g6_heading_lines", "SELECT doc_id, CAST(length(regexp_extract(text, '^(#{1,6})[ \\t]+', 1)) AS INTEGER) AS level, regexp_extract(text, '^#{1,6}[ \\t]+([^\\n]*)', 1) AS heading FROM documents WHERE text LIKE '#%'")
+@query("q_g6_heading_lines", S.G6)
 def g6(spark, d):
-    return _docs(spark, d).where(F.col("text").startswith("#")).select("doc_id", F.length(F.regexp_extract("text", r"^(#{1,6})[ \t]+", 1)).alias("level"), F.regexp_extract("text", r"^#{1,6}[ \t]+([^\n]*)", 1).alias("heading"))
+    """Every line of every document as a heading or none."""
+    lines = _docs(spark, d).select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "raw"))
+    return lines.select("doc_id", "line", sections.heading_of(F.col("raw")).alias("h")).select("doc_id", "line", "h.*")
 
 
 @query("q_g7_g10_h1_q5_build_chunks")
@@ -209,18 +219,24 @@ def h5(spark, d):
     return summaries.page_rollup(f, c)
 
 
-@query("q_h6_duplicate_headings")
+_CHUNK_BLOCKS = f"SELECT filename AS file, pos AS seq, lower(split_part(heading, ' ', 1)) AS heading, header_level AS level FROM {CHUNKS} WHERE filename IS NOT NULL AND heading IS NOT NULL AND header_level BETWEEN 1 AND 6"
+
+
+@query("q_h6_duplicate_headings", S.duplicates_sql(_CHUNK_BLOCKS))
 def h6(spark, d):
-    return sections.duplicate_headings(sections.with_hierarchy(_blocks(spark, d)))
+    """First words of headings that recur under one parent."""
+    c = chunks(spark, d, "filename", "pos", "heading", "header_level").where("filename IS NOT NULL AND heading IS NOT NULL AND header_level BETWEEN 1 AND 6")
+    b = c.select(F.col("filename").alias("file"), F.col("pos").alias("seq"), F.lower(F.split("heading", " ")[0]).alias("heading"), F.col("header_level").alias("level"))
+    return sections.duplicate_headings(sections.with_hierarchy(b))
 
 
-@query("q_h7_h8_w4_w10_subtree_tokens")
+@query("q_h7_h8_w4_w10_subtree_tokens", S.H7)
 def h7(spark, d):
     s = _blocks(spark, d).select("file", "seq", "level", T.token_count(F.col("content")).alias("tokens"))
     return sections.subtree_tokens(s)
 
 
-@query("q_k21_a4_u5_token_report")
+@query("q_k21_a4_u5_token_report", S.K21)
 def k21(spark, d):
     s = _blocks(spark, d).select("file", "seq", "level", "heading", T.token_count(F.col("content")).alias("tokens"))
     return writers.token_report(sections.subtree_tokens(s))
@@ -245,7 +261,7 @@ def s13(spark, d):
     return read_table(spark, d, "catalogue").where((v != "") & ~v.startswith("#")).select(F.col("crawl_url").alias("url"))
 
 
-@query("q_s14_tree_files")
+@query("q_s14_tree_files", r"SELECT DISTINCT filename AS path FROM chunks WHERE regexp_matches(filename, '\.mdx?$|\.markdown$')")
 def s14(spark, d):
     c = chunks(spark, d, "filename")
     folder = F.split("filename", "/")[0]
@@ -294,11 +310,6 @@ def k15(spark, d):
     return writers.evaluation_long(m)
 
 
-@query("q_k14_master_log", "SELECT printf('%.4f', avg(scores.dense)) AS mean FROM retrieval_pairs")
-def k14(spark, d):
-    return writers.master_row(read_table(spark, d, "retrieval_pairs").agg(F.avg("scores.dense").alias("mean")))
-
-
 @query("q_k22_like_count", f"SELECT chunk_type, count(*) AS chunks FROM {CHUNKS} WHERE heading LIKE 'How the %' GROUP BY chunk_type")
 def k22(spark, d):
     return chunks(spark, d, "heading", "chunk_type").where(F.col("heading").like("How the %")).groupBy("chunk_type").agg(F.count(F.lit(1)).alias("chunks"))
@@ -324,14 +335,6 @@ def u3(spark, d):
     return chunks(spark, d, "content").select("id", T.token_count(F.col("content")).alias("tokens"))
 
 
-@query("q_z6_diagnostics", f"WITH x AS (SELECT CAST(unnest(embedding) AS DOUBLE) AS x FROM {CHUNKS} WHERE {valid_sql('embedding')}) SELECT CASE WHEN stddev_pop(x) > 0.01 THEN 'great' ELSE 'weak' END AS rating FROM x")
-def z6(spark, d):
-    from quarryloom.functions import vectors as V
-
-    x = chunks(spark, d, "embedding").where(V.valid(F.col("embedding"), 48)).select(F.explode("embedding").alias("x"))
-    return x.agg(F.when(F.stddev_pop(F.col("x").cast("double")) > 0.01, "great").otherwise("weak").alias("rating"))
-
-
 # --- event windows ---------------------------------------------------------------------------------------------------
 
 

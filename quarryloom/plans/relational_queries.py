@@ -19,6 +19,9 @@ def tok_sql(c: str) -> str:
     return _TOK.format(c)
 
 
+_CATEGORY = f"lower(coalesce(nullif({strip_sql('category')}, ''), 'unknown'))"
+
+
 # --- joins -----------------------------------------------------------------------------------------------------------
 
 
@@ -56,8 +59,7 @@ def j3b(spark, d):
   SELECT query, doc, score, CAST(rank AS INTEGER) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, doc) AS rank FROM s) WHERE rank <= 10""")
 def j6(spark, d):
     e = read_table(spark, d, "embeddings").select("vec_id", "embedding")
-    s = retrieval.dense_scores(e.where("vec_id % 20 = 0"), e, "vec_id", "embedding", "vec_id", "embedding").where("query <> doc")
-    return retrieval.top_k(s.withColumn("score", F.round("score", 6)), 10)
+    return retrieval.dense_top_k(e.where("vec_id % 20 = 0"), e, "vec_id", "embedding", "vec_id", "embedding", 10)
 
 
 @query("q_j7_r4_labels", f"""WITH p AS (SELECT DISTINCT query_id, lower(trim(u.p)) AS p FROM {LABELLED} q, unnest(q.positives) AS u(p))
@@ -127,14 +129,17 @@ _BM25 = f"""WITH d AS (SELECT doc_id AS doc, {tok_sql('text')} AS toks FROM docu
 
 @query("q_r1_a5_a6_bm25_topk", _BM25)
 def bm25_topk(spark, d):
-    scores = retrieval.bm25(read_table(spark, d, "eval_items"), read_table(spark, d, "documents"), "item_id", "text", "doc_id", "text")
-    return retrieval.top_k(scores.withColumn("score", F.round("score", 6)), 10)
+    return retrieval.bm25_top_k(read_table(spark, d, "eval_items"), read_table(spark, d, "documents"), "item_id", "text", "doc_id", "text", 10)
 
 
 @query("q_a8_similarity_summary", "SELECT difficulty, count(dense) AS n, round(avg(dense), 6) AS mean, round(median(dense), 6) AS median, min(dense) AS least, max(dense) AS most, round(stddev_pop(dense), 6) AS spread FROM (SELECT lower(trim(difficulty)) AS difficulty, scores.dense AS dense FROM retrieval_pairs) GROUP BY difficulty")
 def a8(spark, d):
     r = read_table(spark, d, "retrieval_pairs").select(F.lower(F.trim("difficulty")).alias("difficulty"), F.col("scores.dense").alias("dense"))
-    return r.groupBy("difficulty").agg(F.count("dense").alias("n"), F.round(F.avg("dense"), 6).alias("mean"), F.round(F.median("dense"), 6).alias("median"), F.min("dense").alias("least"), F.max("dense").alias("most"), F.round(F.stddev_pop("dense"), 6).alias("spread"))
+    from quarryloom.operators.statistics import quantiles
+
+    per = r.groupBy("difficulty").agg(F.count("dense").alias("n"), F.round(F.avg("dense"), 6).alias("mean"), F.min("dense").alias("least"), F.max("dense").alias("most"), F.round(F.stddev_pop("dense"), 6).alias("spread"))
+    middle = quantiles(r, ["difficulty"], "dense", {"median": 0.5}).withColumnRenamed("difficulty", "d")
+    return per.join(middle, F.col("difficulty").eqNullSafe(F.col("d"))).drop("d").withColumn("median", F.round("median", 6))
 
 
 @query("q_a9_vector_stats", f"""SELECT (SELECT count(*) FROM {CHUNKS} WHERE {valid_sql('embedding')}) AS vectors, round(min(x), 6) AS least, round(max(x), 6) AS most, round(avg(x), 6) AS mean, round(stddev_pop(x), 6) AS spread, count(*) FILTER (x = 0) AS zeros
@@ -216,26 +221,35 @@ def a14(spark, d):
 @query("q_a16_a17_percentiles", """WITH p AS (SELECT l_returnflag, l_extendedprice AS v, row_number() OVER (PARTITION BY l_returnflag ORDER BY l_extendedprice) AS r, count(*) OVER (PARTITION BY l_returnflag) AS n FROM lineitem)
   SELECT l_returnflag, round(quantile_cont(v, 0.2), 4) AS p20, round(avg(v) FILTER (r > floor(n * 0.1) AND r <= n - floor(n * 0.1)), 4) AS trimmed, round(avg(v), 4) AS mean FROM p GROUP BY l_returnflag""")
 def a17(spark, d):
-    from quarryloom.operators.statistics import trimmed_mean
+    from quarryloom.operators.statistics import quantiles, trimmed_mean
 
     rows = read_table(spark, d, "lineitem")
     t = trimmed_mean(rows, ["l_returnflag"], "l_extendedprice", 0.1)
-    p = rows.groupBy("l_returnflag").agg(F.round(F.percentile("l_extendedprice", 0.2), 4).alias("p20"), F.round(F.avg("l_extendedprice"), 4).alias("mean"))
-    return p.join(t, "l_returnflag").select("l_returnflag", "p20", F.round("trimmed", 4).alias("trimmed"), "mean")
+    p = rows.groupBy("l_returnflag").agg(F.round(F.avg("l_extendedprice"), 4).alias("mean")).join(quantiles(rows, ["l_returnflag"], "l_extendedprice", {"p20": 0.2}), "l_returnflag")
+    return p.join(t, "l_returnflag").select("l_returnflag", F.round("p20", 4).alias("p20"), F.round("trimmed", 4).alias("trimmed"), "mean")
 
 
 @query("q_a18_length_stats", f"SELECT chunk_type, round(avg(n), 6) AS mean, CAST(floor(quantile_cont(n, 0.9)) AS INTEGER) AS p90, CAST(floor(quantile_cont(n, 0.95)) AS INTEGER) AS p95 FROM (SELECT chunk_type, len({tok_sql('content')}) AS n FROM {CHUNKS}) GROUP BY chunk_type")
 def a18(spark, d):
     c = chunks(spark, d, "chunk_type", "content").select("chunk_type", T.token_count(F.col("content")).alias("n"))
-    p = F.percentile("n", F.array(F.lit(0.9), F.lit(0.95)))
-    return c.groupBy("chunk_type").agg(F.round(F.avg("n"), 6).alias("mean"), p.alias("p")).select("chunk_type", "mean", F.col("p")[0].cast("int").alias("p90"), F.col("p")[1].cast("int").alias("p95"))
+    from quarryloom.operators.statistics import quantiles
+    from quarryloom.runtime import cut
+
+    c = cut(c)
+    means = c.groupBy("chunk_type").agg(F.round(F.avg("n"), 6).alias("mean"))
+    return means.join(quantiles(c, ["chunk_type"], "n", {"p90": 0.9, "p95": 0.95}), "chunk_type").select("chunk_type", "mean", F.floor("p90").cast("int").alias("p90"), F.floor("p95").cast("int").alias("p95"))
 
 
-@query("q_a19_p8_balance")
+@query("q_a19_p8_balance", f"""WITH c AS (SELECT id, {_CATEGORY} AS category FROM {CHUNKS}), r AS (SELECT * FROM (VALUES ('messaging', 0.25), ('observability', 0.4), ('typography', 0.35)) v(category, ratio)),
+  t AS (SELECT category, CAST(ratio AS DOUBLE) AS ratio, coalesce(n, 0) AS n FROM r LEFT JOIN (SELECT category, count(*) AS n FROM c GROUP BY category) USING (category)),
+  f AS (SELECT *, floor(min(n / ratio) OVER () + 1e-9) AS everything FROM t), e AS (SELECT category, everything, everything * ratio AS exact, floor(everything * ratio + 1e-9) AS base FROM f),
+  g AS (SELECT category, base + CASE WHEN row_number() OVER (ORDER BY round(exact - base, 9) DESC, category DESC) <= everything - sum(base) OVER () THEN 1 ELSE 0 END AS target FROM e),
+  k AS (SELECT id, category, row_number() OVER (PARTITION BY category ORDER BY md5('0:' || id), id) AS rn FROM c)
+  SELECT id, k.category FROM k LEFT JOIN g USING (category) WHERE (SELECT min(target) FROM g) = 0 OR rn <= coalesce(target, 0)""")
 def a19(spark, d):
     """Chunks cut to shares of three categories."""
     c = chunks(spark, d, "category").select("id", T.category(F.col("category")).alias("category"))
-    return mining.balance(c, "category", {"messaging": 0.25, "typography": 0.35, "observability": 0.4}, ["id"]).groupBy("category").agg(F.count(F.lit(1)).alias("chunks"))
+    return mining.balance(c, "category", {"messaging": 0.25, "typography": 0.35, "observability": 0.4}, ["id"]).select("id", "category")
 
 
 @query("q_a21_accuracy", "SELECT round(avg(CASE WHEN (scores.combined >= 0.5) = (label = 1) THEN 1.0 ELSE 0.0 END), 6) AS accuracy, count(*) AS pairs FROM retrieval_pairs WHERE scores.combined IS NOT NULL")
@@ -320,7 +334,21 @@ def o11(spark, d):
     return ranking.page(c, ["metadata_title", "id"], 2, 10)
 
 
-@query("q_x1_p1_positive_pairs")
+_KEPT = f"(SELECT * FROM {CHUNKS} WHERE lower(coalesce(chunk_type, '')) NOT IN ('table'))"
+_SUMMARY = f"CASE WHEN {strip_sql('chunk_summary')} <> '' AND lower({strip_sql('chunk_summary')}) <> 'false' THEN lower(chunk_summary) END"
+
+
+def _pairs_sql() -> str:
+    def within(key: str, k: int, kind: str) -> str:
+        return f"""SELECT a.id AS anchor, b.id AS positive, '{kind}' AS pair_type FROM r_{kind} a JOIN r_{kind} b ON a.key = b.key AND a.rn < b.rn WHERE b.rn <= {k}"""
+
+    keys = {"sibling": ("concat_header_path", 5), "summary": (f"CASE WHEN len(string_split({_SUMMARY}, ' ')) >= 5 THEN array_to_string(string_split({_SUMMARY}, ' ')[1:5], ' ') END", 3),
+            "section": (f"CASE WHEN len({seg_sql('concat_header_path')}) >= 2 THEN array_to_string({seg_sql('concat_header_path')}[1:2], '/') END", 4)}
+    tables = ", ".join(f"r_{n} AS (SELECT id, key, row_number() OVER (PARTITION BY key ORDER BY pos, id) AS rn FROM (SELECT id, pos, {k} AS key FROM kept) WHERE key <> '')" for n, (k, _) in keys.items())
+    return f"kept AS {_KEPT}, {tables}, pairs AS (SELECT p.id AS anchor, c.id AS positive, 'parent_child' AS pair_type FROM kept c JOIN kept p ON c.parent_id = p.id UNION ALL " + " UNION ALL ".join(within(k, n, kind) for kind, (k, n) in keys.items()) + ")"
+
+
+@query("q_x1_p1_positive_pairs", f"WITH {_pairs_sql()} SELECT anchor, positive, pair_type FROM pairs")
 def x1(spark, d):
     c = chunks(spark, d, "pos", "parent_id", "concat_header_path", "chunk_summary", "chunk_type").withColumn("path", T.segments(F.col("concat_header_path")))
     return mining.positive_pairs(c)
@@ -356,25 +384,81 @@ def _mining_chunks(spark, d):
         "top", T.top_heading(F.col("concat_header_path"), F.col("heading"))).drop("content")
 
 
-@query("q_p2_easy_negatives")
+def _jaccard_sql(a: str, b: str) -> str:
+    return f"len(list_intersect(list_distinct({a}), list_distinct({b}))) / CAST(len(list_distinct(list_concat({a}, {b}))) AS DOUBLE)"
+
+
+_MINED = f"""m AS (SELECT id, filename, {_CATEGORY} AS category, {seg_sql('concat_header_path')} AS path, list_distinct({tok_sql('content')}[1:30]) AS words, lower(coalesce(chunk_type, '')) AS kind,
+    nullif({strip_sql('heading')}, '') AS head FROM {CHUNKS}),
+  mc AS (SELECT *, coalesce(path[1], lower(head), '') AS top, coalesce(lower(head), path[len(path)], '') AS leaf, md5('0:' || id) AS h FROM m)"""
+_EASY = """er AS (SELECT *, row_number() OVER (ORDER BY h, id) AS rn, count(*) OVER () AS n FROM mc),
+  easy AS (SELECT anchor, negative, tier, CAST(1 AS INTEGER) AS choice FROM (SELECT a.id AS anchor, c.id AS negative, CASE WHEN a.category <> c.category THEN 1 WHEN a.filename IS DISTINCT FROM c.filename THEN 2 ELSE 3 END AS tier,
+    (c.rn - a.rn + a.n) % a.n AS off FROM er a JOIN er c ON a.top <> c.top) QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY tier, off) = 1)"""
+_MEDIUM = f"""mr AS (SELECT *, row_number() OVER (PARTITION BY top ORDER BY h, id) AS rn, count(*) OVER (PARTITION BY top) AS n, kind <> 'table' OR row_number() OVER (PARTITION BY top, kind = 'table' ORDER BY h, id) <= 3 AS allowed FROM mc),
+  mp AS (SELECT a.id AS anchor, c.id AS negative, (c.rn - a.rn + a.n) % a.n AS off, a.filename IS NOT DISTINCT FROM c.filename AS infile, a.leaf = c.leaf AS same,
+    CASE WHEN len(a.path) > 0 AND len(c.path) > 0 THEN {_jaccard_sql('a.path', 'c.path')} END AS p, CASE WHEN len(a.words) > 0 AND len(c.words) > 0 THEN {_jaccard_sql('a.words', 'c.words')} END AS w
+    FROM mr a JOIN mr c ON a.top = c.top AND a.id <> c.id WHERE c.allowed),
+  mt AS (SELECT anchor, negative, off, CASE WHEN coalesce(p BETWEEN 0.2 AND 0.5 OR (p < 0.3 AND infile), false) THEN 1 WHEN coalesce(w BETWEEN 0.15 AND 0.4, false) THEN 3 ELSE 5 END + CAST(same AS INTEGER) AS tier FROM mp),
+  medium AS (SELECT anchor, negative, tier, CAST(row_number() OVER (PARTITION BY anchor ORDER BY tier, off) AS INTEGER) AS choice FROM mt QUALIFY choice <= 3)"""
+_HARD = f"""hr AS (SELECT *, row_number() OVER (ORDER BY h, id) AS rn FROM mc),
+  ha AS (SELECT *, floor(rn * CAST(0.3 AS DOUBLE)) > floor((rn - 1) * CAST(0.3 AS DOUBLE)) AS need FROM hr),
+  hp AS (SELECT a.id AS anchor, c.id AS negative, a.need AND a.category <> c.category AS cross_source, a.category = c.category AS same,
+    CASE WHEN len(a.path) > 0 AND len(c.path) > 0 THEN {_jaccard_sql('a.path', 'c.path')} ELSE 0.0 END AS p, CASE WHEN len(a.words) > 0 AND len(c.words) > 0 THEN {_jaccard_sql('a.words', 'c.words')} ELSE 0.0 END AS w
+    FROM ha a JOIN mc c ON a.top = c.top AND a.id <> c.id),
+  ht AS (SELECT *, CASE WHEN p >= 0.35 OR w >= 0.2 THEN 1 WHEN same THEN 2 ELSE 3 END AS tier, CASE WHEN tier = 1 THEN round(CAST(0.6 AS DOUBLE) * p + CAST(0.4 AS DOUBLE) * w, 9) ELSE 0.0 END AS score FROM hp),
+  hb AS (SELECT * FROM ht QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY tier, cross_source DESC, score DESC, negative) <= 20),
+  hard AS (SELECT anchor, negative, tier, score, CAST(row_number() OVER (PARTITION BY anchor ORDER BY tier, cross_source DESC, md5('0:' || anchor || ':' || negative)) AS INTEGER) AS choice FROM hb QUALIFY choice <= 3)"""
+
+
+@query("q_p2_easy_negatives", f"WITH {_MINED}, {_EASY} SELECT * FROM easy")
 def p2(spark, d):
     c = _mining_chunks(spark, d)
     return mining.easy_negatives(c, c)
 
 
-@query("q_p3_medium_negatives")
+@query("q_p3_medium_negatives", f"WITH {_MINED}, {_MEDIUM} SELECT * FROM medium")
 def p3(spark, d):
     c = _mining_chunks(spark, d)
     return mining.medium_negatives(c, c)
 
 
-@query("q_p4_hard_negatives")
+@query("q_p4_w8_hard_negatives", f"WITH {_MINED}, {_HARD} SELECT anchor, negative, tier, round(score, 6) AS score, choice FROM hard")
 def p4(spark, d):
     c = _mining_chunks(spark, d)
-    return mining.hard_negatives(c, c)
+    return mining.hard_negatives(c, c).withColumn("score", F.round("score", 6))
+
+
+@query("q_p6_negative_pairs", f"""WITH {_MINED}, {_pairs_sql()}, nr AS (SELECT *, row_number() OVER (ORDER BY h, id) AS rn, count(*) OVER () AS n, min(category) OVER () < max(category) OVER () AS cats, min(filename) OVER () < max(filename) OVER () AS files FROM mc),
+  np AS (SELECT a.id AS anchor, c.id AS negative, CASE WHEN a.category <> c.category THEN 1 WHEN a.filename IS DISTINCT FROM c.filename THEN 2 ELSE 3 END AS tier, (c.rn - a.rn + a.n) % a.n AS off
+    FROM nr a JOIN nr c ON a.id <> c.id WHERE a.id IN (SELECT anchor FROM pairs)),
+  n3 AS (SELECT anchor, negative, tier, row_number() OVER (PARTITION BY anchor ORDER BY tier, off) AS choice FROM np QUALIFY choice <= 3)
+  SELECT anchor, positive, negative, 'negative_' || ['cross_domain', 'diff_file', 'random'][tier] || '_' || pair_type AS pair_type FROM (SELECT DISTINCT anchor, positive, pair_type FROM pairs) JOIN n3 USING (anchor)
+  WHERE negative <> positive QUALIFY row_number() OVER (PARTITION BY anchor, positive, pair_type ORDER BY choice) <= 2""")
+def p6(spark, d):
+    c = _mining_chunks(spark, d)
+    return mining.negative_pairs(mining.positive_pairs(c), c)
+
+
+@query("q_a20_same_source_mix", f"""WITH {_MINED}, {_pairs_sql()}, j AS (SELECT a.category, a.category = b.category AS same FROM pairs p JOIN mc a ON a.id = p.anchor JOIN mc b ON b.id = p.positive),
+  g AS (SELECT category, count(*) AS pairs, count(*) FILTER (same) AS same FROM j GROUP BY category),
+  t AS (SELECT *, pairs - same AS "cross", CAST(least(same, floor(pairs * CAST(0.7 AS DOUBLE))) AS BIGINT) AS same_taken FROM g), u AS (SELECT *, least("cross", pairs - same_taken) AS cross_taken FROM t)
+  SELECT *, pairs - same_taken - cross_taken AS backfilled FROM u""")
+def a20(spark, d):
+    c = _mining_chunks(spark, d)
+    return mining.same_source_mix(mining.positive_pairs(c), c)
+
+
+def _triplets_sql() -> str:
+    parts = [f"""SELECT DISTINCT p.anchor, p.positive, n.negative, p.pair_type, '{name}' AS difficulty, CASE WHEN {valid_sql('va.embedding')} AND {valid_sql('vn.embedding')}
+        THEN list_cosine_similarity(CAST(va.embedding AS DOUBLE[]), CAST(vn.embedding AS DOUBLE[])) END AS c, {low} AS low, {high} AS high
+      FROM (SELECT p.anchor, p.positive, p.pair_type, min(choice) AS choice FROM pairs p JOIN {name} n ON n.anchor = p.anchor AND n.negative <> p.positive GROUP BY ALL) p
+      JOIN {name} n ON n.anchor = p.anchor AND n.choice = p.choice JOIN ce va ON va.id = p.anchor JOIN ce vn ON vn.id = n.negative"""
+             for name, low, high in (("easy", -1.0, mining.EASY_MAX), ("medium", *mining.MEDIUM), ("hard", -1.0, mining.HARD_MAX))]
+    return f"""WITH {_MINED}, {_pairs_sql()}, {_EASY}, {_MEDIUM}, {_HARD}, ce AS (SELECT id, embedding FROM {CHUNKS}), t3 AS ({' UNION ALL '.join(parts)}),
+      triplets AS (SELECT anchor, positive, negative, pair_type, difficulty, round(c, 6) AS cosine, coalesce(round(c, 9) BETWEEN low AND high, true) AS kept FROM t3)"""
 
 
-@query("q_p5_p7_triplets")
+@query("q_p5_p7_triplets", f"{_triplets_sql()} SELECT * FROM triplets")
 def p7(spark, d):
     from quarryloom.runtime import cut
 
@@ -385,14 +469,16 @@ def p7(spark, d):
     for name, negatives, low, high in (("easy", mining.easy_negatives(c, c), -1.0, mining.EASY_MAX), ("medium", mining.medium_negatives(c, c), *mining.MEDIUM), ("hard", mining.hard_negatives(c, c), -1.0, mining.HARD_MAX)):
         part = mining.triplets(pairs, negatives, v, name, low, high)
         out = part if out is None else out.unionByName(part)
-    return out
+    return out.withColumn("cosine", F.round("cosine", 6))
 
 
-@query("q_k10_a11_export_stats")
+@query("q_k10_a11_export_stats", f"""{_triplets_sql()} SELECT difficulty, CAST(sum(n) AS BIGINT) AS total, CAST(sum(k) AS BIGINT) AS kept, CAST(sum(n) - sum(k) AS BIGINT) AS removed, array_to_string(list(pair_type || '=' || n ORDER BY pair_type), ',') AS pair_types
+  FROM (SELECT difficulty, pair_type, count(*) AS n, count(*) FILTER (kept) AS k FROM triplets GROUP BY ALL) GROUP BY difficulty""")
 def k10(spark, d):
-    return mining.export_statistics(p7(spark, d))
+    pairs = F.array_join(F.transform(F.array_sort(F.map_entries("pair_types")), lambda e: F.concat_ws("=", e["key"], e["value"].cast("string"))), ",")
+    return mining.export_statistics(p7(spark, d)).withColumn("pair_types", pairs)
 
 
-@query("q_k11_cross_encoder_pairs")
+@query("q_k11_cross_encoder_pairs", f"{_triplets_sql()} SELECT anchor AS query, difficulty, pair_type, u.c AS candidate, u.l AS label FROM triplets, LATERAL (VALUES (positive, 1), (negative, 0)) u(c, l) WHERE kept")
 def k11(spark, d):
     return mining.cross_encoder_pairs(p7(spark, d).where("kept"))

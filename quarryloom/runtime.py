@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import os
+import atexit
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,13 +30,21 @@ def build_session(app: str = "quarryloom", cores: int | str = "*", **conf: str)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names in ``spark.checkpoint.dir``; a temporary one only where that is unset."""
+    """The shared folder the cluster names in ``spark.checkpoint.dir``; in a local session without one, a temporary folder that is removed at exit.
+
+    Raises on a cluster that names none: a folder of one machine would be lost with it.
+    """
     sc = spark.sparkContext
     current = sc._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
     named = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    target = named or os.path.join(tempfile.gettempdir(), "quarryloom-checkpoints")
+    target = named
+    if not target:
+        if not (sc.master.startswith("local[") or sc.master == "local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        target = tempfile.mkdtemp(prefix="quarryloom-checkpoints-")
+        atexit.register(shutil.rmtree, target, ignore_errors=True)
     sc.setCheckpointDir(target)
     return target
 

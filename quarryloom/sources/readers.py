@@ -66,7 +66,9 @@ def _list_or_wrapped(spark: SparkSession, path: str, schema: S.StructType, wrapp
     raw = spark.read.schema(both).option("multiLine", not lines).json(path).withColumn("__at", F.monotonically_increasing_id())
     flat = raw.where(F.col(wrapper).isNull()).select("__at", F.lit(0).alias("__i"), *schema.names)
     nested = raw.where(F.col(wrapper).isNotNull()).select("__at", F.posexplode(wrapper).alias("__i", "r")).select("__at", "__i", "r.*")
-    return flat.unionByName(nested).withColumn("pos", F.col("__at") * (1 << 20) + F.col("__i")).drop("__at", "__i")
+    from quarryloom.operators.order import enumerate_rows
+
+    return enumerate_rows(flat.unionByName(nested), ["__at", "__i"], "pos").withColumn("pos", F.col("pos") - 1).drop("__at", "__i")
 
 
 def read_chunks(spark: SparkSession, path: str) -> DataFrame:
@@ -145,12 +147,21 @@ def read_grid(spark: SparkSession, path: str) -> DataFrame:
     return enumerate_rows(rows, ["at"], "line").select("line", cells.alias("cells"))
 
 
-def tree_files(edges: DataFrame, roots: DataFrame, depth: int = 64) -> DataFrame:
-    """Files below the roots of a repository listing ``path, parent, kind``: level by level over the frontier, seen paths once."""
+def tree_files(edges: DataFrame, roots: DataFrame) -> DataFrame:
+    """Files below the roots of a repository listing ``path, parent, kind``, at any depth, each once; what hangs in loops has no root."""
     from quarryloom.operators.forest import ROOT, resolve_forest
     from quarryloom.runtime import cut
 
     nodes = edges.select("path", F.when(F.col("parent").isin(""), None).otherwise(F.col("parent")).alias("parent"), "kind")
-    f = resolve_forest(cut(nodes), "path", "parent", "path", ("path",)).where(F.col("status") == ROOT).where(F.size("path_ids") <= depth)
+    f = resolve_forest(cut(nodes), "path", "parent", "path", ("path",)).where(F.col("status") == ROOT)
     below = f.join(roots.select(F.col("path").alias("root")), "root", "left_semi").select(F.col("id").alias("path"))
     return below.join(nodes.where("kind = 'file'"), "path", "left_semi").where(F.col("path").rlike(r"\.mdx?$|\.markdown$"))
+
+
+def read_stats(spark: SparkSession, path: str) -> dict[str, object]:
+    """The figures of a difficulty's statistics file (one JSON object), or nothing where there is no such file."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if not hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop):
+        return {}
+    row = spark.read.option("multiLine", True).json(path).first()
+    return row.asDict(recursive=True) if row else {}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quarryloom.functions.text import format_seconds, format_value
@@ -100,11 +100,52 @@ def evaluation_long(summary: DataFrame, group: str = "difficulty") -> DataFrame:
     return summary.select(group, *[F.col(c).cast("double") for c in metrics]).unpivot(group, metrics, "metric", "value")
 
 
+#: Fields of the run log, in order.
+MASTER_FIELDS = (
+    "timestamp", "BASE_CWD", "CODE_CHANGE", "max_length", "batch_size", "lr", "epochs", "candidate_k", "num_chunks", "num_eval_queries", "baseline_mrr", "rerank_mrr", "baseline_recall5", "rerank_recall5", "baseline_ndcg10",
+    "rerank_ndcg10", "retrieval_seconds", "rerank_seconds", "total_seconds")
+
+
+def format_rate(c: Column) -> Column:
+    """A learning rate: six digits, below a thousandth one significant digit in powers of ten, null empty."""
+    short = F.regexp_replace(F.lower(F.format_string("%.0e", c)), r"e([+-])0+(?=\d)", "e$1")
+    return F.coalesce(F.when(c == 0, "0.000000").when(F.abs(c) < 1e-3, short).otherwise(F.format_string("%.6f", c)), F.lit(""))
+
+
+def master_log(run: DataFrame, baseline: DataFrame, reranker: DataFrame) -> DataFrame:
+    """One row of the run log, all strings, in the order of ``MASTER_FIELDS``; what isn't known is empty.
+
+    ``run`` holds the settings, counts and durations of one run, ``baseline`` and ``reranker`` one row each of mean
+    ``mrr``, ``recall_5`` and ``ndcg_10``. ``total_seconds`` is the sum of the durations.
+    """
+    side = lambda df, name: df.select(F.col("mrr").alias(f"{name}_mrr"), F.col("recall_5").alias(f"{name}_recall5"), F.col("ndcg_10").alias(f"{name}_ndcg10"))
+    one = run.crossJoin(side(baseline, "baseline")).crossJoin(side(reranker, "rerank"))  # a row each
+    seconds = [c for c in ("retrieval_seconds", "rerank_seconds") if c in one.columns]
+    one = one.withColumn("total_seconds", sum((F.coalesce(c, F.lit(0.0)) for c in seconds), F.lit(0.0)))
+    out = []
+    for name in MASTER_FIELDS:
+        c = F.col(name) if name in one.columns else F.lit(None).cast("string")
+        if name == "lr":
+            c = format_rate(c.cast("double"))
+        elif name.endswith("_seconds"):
+            c = F.format_string("%.2f", c.cast("double"))
+        elif name.startswith(("baseline_", "rerank_")):
+            c = F.format_string("%.4f", c.cast("double"))
+        out.append(F.coalesce(F.when(F.col(name).isNotNull(), c.cast("string")) if name in one.columns else c, F.lit("")).alias(name))
+    return one.select(*out)
+
+
 def master_row(stats: DataFrame) -> DataFrame:
     """Durations and metrics formatted for the run log."""
     return stats.select(*[format_seconds(F.col(c)).alias(c) if c.endswith("_seconds") else format_value(F.col(c)).alias(c) if t == "double" else F.col(c) for c, t in stats.dtypes])
 
 
 def selected_rows(grid: DataFrame, lines: list[int], path: str) -> None:
-    """Saves chosen rows of a grid as CSV."""
-    grid.where(F.col("line").isin(*lines)).select(F.array_join("cells", ",").alias("row")).write.mode("overwrite").text(path)
+    """Saves chosen rows of a grid as CSV by RFC 4180."""
+    grid.where(F.col("line").isin(*lines)).orderBy("line").select(csv_row(F.col("cells")).alias("row")).write.mode("overwrite").text(path)
+
+
+def csv_row(cells: Column) -> Column:
+    """One line of CSV by RFC 4180: cells with a comma, a quote or a line end are quoted, quotes doubled; null is empty."""
+    cell = lambda c: F.coalesce(F.when(c.rlike('[",\\r\\n]'), F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))).otherwise(c), F.lit(""))
+    return F.array_join(F.transform(cells, cell), ",")

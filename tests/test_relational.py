@@ -5,8 +5,8 @@ from pyspark.sql import functions as F
 
 from quarryloom.functions import text as T
 from quarryloom.functions import vectors as V
-from quarryloom.operators import ground_truth, mining, order, ranking, retrieval, statistics
-from quarryloom.sources import readers, writers
+from quarryloom.operators import encoders, ground_truth, mining, order, ranking, retrieval, rings, statistics
+from quarryloom.sources import crawl, readers, writers
 from quarryloom.streaming import events as stream
 
 
@@ -64,7 +64,7 @@ def test_balance_keeps_largest_remainder_shares(spark):
 
 def test_mining_and_metrics(spark):
     rows = [(f"n{i}", i, f"f{i % 2}", f"n{i - 1}" if i % 4 else None, "ab"[i % 2], ["h" + str(i % 2), f"s{i % 3}"], f"H{i}", ["w", f"x{i % 5}"], "h" + str(i % 2)) for i in range(40)]
-    c = spark.createDataFrame(rows, "id string, pos bigint, filename string, parent_id string, category string, path array<string>, heading string, words array<string>, top string")
+    c = spark.createDataFrame(rows, "id string, pos bigint, filename string, parent_id string, category string, path array<string>, heading string, words array<string>, top string").withColumn("chunk_type", F.lit("heading"))
     assert mining.parent_child(c).count() == 30
     assert mining.pairs_within(c, F.col("filename"), 3, "x").count() == 6
     tops = {r[0]: r[-1] for r in rows}
@@ -72,6 +72,16 @@ def test_mining_and_metrics(spark):
     assert len(easy) == 40 and all(tops[r.anchor] != tops[r.negative] for r in easy)
     medium = mining.medium_negatives(c, c).collect()
     assert medium and all(tops[r.anchor] == tops[r.negative] and r.anchor != r.negative for r in medium)
+    hard = mining.hard_negatives(c, c).collect()
+    assert {r.anchor for r in hard} == set(tops) and all(tops[r.anchor] == tops[r.negative] for r in hard) and max(r.choice for r in hard) == mining.CHOICES
+    lone = c.where("id = 'n0'")
+    assert mining.easy_negatives(lone, lone).count() == 0 and mining.medium_negatives(lone, lone).count() == 0 and mining.hard_negatives(lone, lone).count() == 0
+    assert mining.easy_negatives(c.limit(0), c.limit(0)).count() == 0
+    pairs = mining.parent_child(c)
+    extra = mining.negative_pairs(pairs, c).collect()
+    assert len(extra) == 60 and all(r.negative not in (r.anchor, r.positive) for r in extra)
+    mix = mining.same_source_mix(pairs, c).collect()
+    assert all(r.same_taken + r.cross_taken + r.backfilled == r.pairs for r in mix)
     p = spark.createDataFrame([("e", "q", "a", 1, 0.9), ("e", "q", "b", 0, 0.1), ("e", "q2", "a", 1, None), ("e", "q2", "b", 0, 0.5), ("e", "q3", "a", 0, 0.5)], "difficulty string, query_id string, candidate_id string, label int, s double")
     m = retrieval.ranking_metrics(p, "s").first()
     assert (m.queries, m.pairs, m.top1, m.mrr, m.pair_accuracy) == (2, 4, 0.5, 0.75, 0.5)
@@ -89,6 +99,79 @@ def test_bm25_against_formula(spark):
     assert abs(got[1] - (idf(1) * w(2, 3) + 2 * idf(2) * w(1, 3))) < 1e-9 and abs(got[2] - 2 * idf(2) * w(1, 2)) < 1e-9 and 3 not in got
 
 
+def test_first_fitting_goes_round_the_ring(spark):
+    """Against a full scan, with a condition that few rows fit."""
+    rows = spark.createDataFrame([(f"i{n:03d}", "g" if n < 150 else "h", n % 97) for n in range(200)], "id string, scope string, x int")
+    r = rings.ring(rows, "scope").cache()
+    got = {a.anchor: (a.negative, a.tier) for a in rings.first_fitting(r, r, "scope", lambda a, c: F.when(F.col(f"{c}.x") == 5, 1).when(F.col(f"{c}.x") > 90, 2)).collect()}
+    place = {x.id: x for x in r.collect()}
+    assert sorted(x.rn for x in place.values() if x.scope == "g") == list(range(1, 151))
+    for a in place.values():
+        fits = [((1 if c.x == 5 else 2), (c.rn - a.rn) % a.n, c.id) for c in place.values() if c.scope == a.scope and c.id != a.id and (c.x == 5 or c.x > 90)]
+        assert got.get(a.id) == ((min(fits)[2], min(fits)[0]) if fits else None)
+
+
+def test_top_k_in_tasks_equals_all_scores(spark):
+    import random
+
+    rng = random.Random(2)
+    word = lambda: f"w{int(rng.expovariate(0.3))}"
+    docs = spark.createDataFrame([(n, " ".join(word() for _ in range(rng.randrange(12))) or None) for n in range(300)] + [(900 + n, "w1 w2") for n in range(9)], "d bigint, t string").repartition(5)
+    q = spark.createDataFrame([(n, " ".join(word() for _ in range(4))) for n in range(30)] + [(99, None), (98, "nowhere")], "q bigint, t string")
+    want = retrieval.top_k(retrieval.bm25(q, docs, "q", "t", "d", "t").withColumn("score", F.round("score", 6)), 4)
+    got = retrieval.bm25_top_k(q, docs, "q", "t", "d", "t", 4, block=7)
+    key = lambda df: {(r.query, r.doc, r["rank"], r.score) for r in df.collect()}
+    assert key(got) == key(want)
+    assert retrieval.bm25_top_k(q.limit(0), docs, "q", "t", "d", "t", 4).count() == 0 and retrieval.bm25_top_k(q, docs.limit(0), "q", "t", "d", "t", 4).count() == 0
+    vectors = [(n, [rng.gauss(0, 1) for _ in range(5)]) for n in range(60)] + [(70, [0.0] * 5), (71, None), (72, [1.0, 0.0, 0.0, 0.0, 0.0]), (73, [2.0, 0.0, 0.0, 0.0, 0.0])]
+    v = spark.createDataFrame(vectors, "i bigint, v array<double>").repartition(3)
+    near = {(r.query, r["rank"]): r.doc for r in retrieval.dense_top_k(v.where("i % 3 = 0"), v, "i", "v", "i", "v", 3, block=8).collect()}
+    full = {i: x for i, x in vectors if x and any(x)}
+    cos = lambda a, b: round(sum(x * y for x, y in zip(a, b, strict=True)) / (sum(x * x for x in a) * sum(x * x for x in b)) ** 0.5, 6)
+    for i in (n for n in full if n % 3 == 0):
+        assert [near[i, k] for k in (1, 2, 3)] == [j for _, j in sorted((-cos(full[i], full[j]), j) for j in full if j != i)[:3]]
+
+
+def test_filters_with_several_clauses(spark):
+    spec = "array<struct<field:string,fields:array<string>,contains:string,contains_all:array<string>,contains_any:array<string>,max_matches:int>>"
+    rows = [("a", [(None, ["heading", "content"], "cache", None, ["open", "shut"], None)]), ("b", [("content", None, "", ["x", "y"], None, 1)]), ("c", [("content", None, " ", None, None, 5), ("nofield", None, "cache", None, None, 5)]), ("d", [(None, None, "sum", None, None, None)])]
+    q = spark.createDataFrame([(i, None, f) for i, f in rows], f"query_id string, positives array<string>, positive_filters {spec}")
+    c = spark.createDataFrame([("k1", 1, "Cache", "open the cache"), ("k2", 2, "The CACHE is shut", "x y"), ("k3", 3, None, "y, then x"), ("k4", None, "open", "cache")], "id string, pos bigint, heading string, content string").selectExpr(
+        "*", "'' concat_header_path", "'' category", "'' title", "CASE WHEN id = 'k3' THEN 'The sum' END chunk_summary", "'' filename")
+    assert {tuple(r) for r in ground_truth.ground_truth(q, c).collect()} == {("a", "k1"), ("a", "k2"), ("b", "k2"), ("d", "k3")}
+
+
+def test_quantiles_and_rows_of_csv(spark):
+    values = [5.0, 1.0, 1.0, 9.0, 2.0, 2.0, 2.0, None]
+    df = spark.createDataFrame([(k, v) for k in ("a", None) for v in values] + [("z", None)], "k string, n double")
+    import numpy as np
+
+    full = [v for v in values if v is not None]
+    for r in statistics.quantiles(df, ["k"], "n", {"q1": 0.25, "q9": 0.9, "all": 1.0}).collect():
+        assert np.allclose((r.q1, r.q9, r["all"]), np.quantile(full, (0.25, 0.9, 1.0)))
+    assert statistics.quantiles(df.limit(0), ["k"], "n", {"q": 0.5}).count() == 0
+    assert one(spark, writers.csv_row(F.array(F.lit("a,b"), F.lit('say "x"'), F.lit(None), F.lit("c"), F.lit("l\nm")))) == '"a,b","say ""x""",,c,"l\nm"'
+    assert one(spark, writers.format_rate(F.lit(2e-5))) == "2e-5" and one(spark, writers.format_rate(F.lit(0.0))) == "0.000000" and one(spark, writers.format_rate(F.lit(0.01))) == "0.010000"
+
+
+def test_crawl_stays_within_site_and_depth(spark):
+    pages = spark.createDataFrame([("https://a.b/1", '<a href="/2">x</a> [y](/3#top) <a href="https://c.d/9">z</a>'), ("https://a.b/2", "[w](/4)"), ("https://a.b/4", "[w](/5) [v](/1)"), ("https://a.b/7", None)], "url string, html string")
+    got = {tuple(r) for r in crawl.crawl(pages, pages.where("url LIKE '%1'").select("url"), 2).collect()}
+    assert got == {("https://a.b/1", 0), ("https://a.b/2", 1), ("https://a.b/3", 1), ("https://a.b/4", 2)}
+    assert crawl.crawl(pages, pages.select("url").limit(0)).count() == 0
+    assert {r.url for r in crawl.crawl(pages, pages.where("url LIKE '%1'").select("url"), 2, r"/[34]$").collect()} == {"https://a.b/1", "https://a.b/3"}
+
+
+def test_scorers_and_stats(spark, tmp_path):
+    df = spark.createDataFrame([("a B c", "b x"), (None, "b"), ("a", None)], "q string, t string")
+    assert [round(r.s, 6) for r in encoders.score_pairs(df, "q", "t", "s").collect()] == [0.333333, 0.0, 0.0]
+    with pytest.raises(ValueError):
+        encoders.score_pairs(df, "q", "t", "s", "unknown")
+    assert readers.read_stats(spark, str(tmp_path / "none.json")) == {}
+    (tmp_path / "s.json").write_text('{"rows": 3}')
+    assert readers.read_stats(spark, str(tmp_path / "s.json")) == {"rows": 3}
+
+
 def test_ground_truth(spark):
     q = spark.createDataFrame([("q1", ["A "], [("heading", "cache", 1)]), ("q2", None, None)], "query_id string, positives array<string>, positive_filters array<struct<field:string,contains:string,max_matches:int>>")
     c = spark.createDataFrame([("x", 2, "Cache b"), ("y", 1, "The cache")], "id string, pos bigint, heading string").selectExpr("*", "'' content", "'' concat_header_path", "'' category", "'' title", "'' chunk_summary", "'' filename")
