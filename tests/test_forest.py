@@ -46,6 +46,17 @@ def test_long_chain_and_loop_over_fragments(spark):
     assert solve(spark, parents, 11) == brute(parents)
 
 
+def test_badly_placed_kin_end_without_larger_tasks(spark):
+    """Kin far apart: no level's tasks may grow, yet it ends."""
+    order = list(range(240))
+    random.Random(8).shuffle(order)
+    chain = {f"c{i:03d}": f"c{i - 1:03d}" if i else None for i in range(160)} | {f"s{i:02d}": "c159" for i in range(80)}
+    rows = [(i, p, i.upper(), place) for (i, p), place in zip(chain.items(), order, strict=True)]
+    df = spark.createDataFrame(rows, "id string, parent_id string, heading string, pos bigint")
+    got = {r.id: (r.status, r.root, r.depth, list(r.path_ids)) for r in resolve_forest(df, place_cols=("pos",), per_task=40).collect()}
+    assert got == brute(chain)
+
+
 def test_local_resolution_visits_chains_once():
     nodes = {"a": (None, ["A"], ["a"]), "b": ("a", ["B"], ["b"]), "c": ("z", ["C"], ["c"])}
     got = {x[0]: x[1:4] for x in resolve_locally(nodes)}
