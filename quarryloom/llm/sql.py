@@ -34,7 +34,32 @@ r AS (SELECT *, CAST(CASE WHEN tokens > 0 THEN least(max_repeats, ceil(wanted /
 p AS (SELECT doc_id, source, tokens, coalesce(sum(tokens) OVER (PARTITION BY source ORDER BY key, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS prefix FROM d),
 mix AS (SELECT doc_id, source, p.tokens, CAST(repeats - CASE WHEN prefix < least(wanted, repeats * r.tokens) - (repeats - 1) * r.tokens THEN 0 ELSE 1 END AS INTEGER) AS copies FROM p JOIN r USING (source) WHERE repeats > 0)"""
 
+_APOSTROPHES = "['’ʼ‘`´]"
+_RUN = 12
+
+
+def _plain(column: str) -> str:
+    return f"regexp_extract_all(regexp_replace(lower({column}), '{_APOSTROPHES.replace(chr(39), chr(39) * 2)}', '', 'g'), '[\\p{{L}}\\p{{N}}]+')"
+
+
+def _runs(table: str, key: str) -> str:
+    return f"SELECT DISTINCT {key}, unnest(list_transform(range(1, len(w) - {_RUN} + 2), lambda i: array_to_string(w[i:i + {_RUN} - 1], ' '))) AS run FROM (SELECT {key}, {_plain('text')} AS w FROM {table} WHERE text IS NOT NULL) WHERE len(w) >= {_RUN}"
+
+
+#: Folded words of the latest delivery of each query, equal words numbered, with trimmed and lower-cased positives.
+_FOLDED = f"""l AS (SELECT DISTINCT ON (query_id) * FROM queries WHERE query_id IS NOT NULL ORDER BY query_id, labelled_at DESC NULLS LAST, text),
+f AS (SELECT query_id, coalesce(nullif(lower(trim(split)), ''), 'train') AS split, lower(trim(source)) AS source, list_distinct(list_filter(list_transform(positives, lambda p: lower(trim(p))), lambda p: p IS NOT NULL AND p <> '')) AS positives,
+  regexp_extract_all(replace(strip_accents(lower(translate(regexp_replace(text, '{_APOSTROPHES.replace(chr(39), chr(39) * 2)}', '', 'g'), '{"".join(chr(c) for c in range(0xFF10, 0xFF1A))}{"".join(chr(c) for c in range(0xFF21, 0xFF3B))}{"".join(chr(c) for c in range(0xFF41, 0xFF5B))}',
+    '0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz'))), 'ß', 'ss'), '[\\p{{L}}\\p{{N}}]+') AS w FROM l),
+n AS (SELECT query_id, split, source, positives, split = 'train' AS train, list_transform(w, lambda x, i: x || '#' || len(list_filter(w[1:i], lambda y: y = x))) AS t FROM f WHERE len(w) > 0 AND split IN ('train', 'test', 'validation'))"""
+_EDITS = "greatest(len(e.t), len(r.t)) - len(list_intersect(e.t, r.t))"
+
 ORACLE_SQL: dict[str, str] = {
+    "p7_found": f"WITH {_FOLDED} SELECT DISTINCT least(e.query_id, r.query_id) AS query_id_a, greatest(e.query_id, r.query_id) AS query_id_b FROM n e JOIN n r ON NOT e.train AND r.train AND len(list_intersect(e.positives, r.positives)) > 0 AND {_EDITS} <= 2",
+    "p7_report": f"""WITH {_FOLDED}, k AS (SELECT *, list_sort(t) AS cls FROM n), te AS (SELECT DISTINCT cls AS t FROM k WHERE train), ee AS (SELECT DISTINCT cls AS t FROM k WHERE NOT train),
+        best AS (SELECT e.t AS cls, min({_EDITS}) AS edits, count(*) AS links FROM ee e JOIN te r ON {_EDITS} <= 2 AND (len(list_intersect(e.t, r.t)) > 0 OR EXISTS (SELECT 1 FROM k a, k b WHERE a.cls = e.t AND NOT a.train AND b.cls = r.t AND b.train AND len(list_intersect(a.positives, b.positives)) > 0)) GROUP BY e.t)
+        SELECT split, source, count(*) AS queries, count(*) FILTER (edits = 0) AS same_words, count(*) FILTER (edits > 0) AS near_same, CAST(coalesce(sum(links), 0) AS BIGINT) AS links FROM k LEFT JOIN best USING (cls) WHERE NOT train GROUP BY split, source""",
+    "p8_found": f"WITH d AS ({_runs('documents', 'doc_id')}), i AS ({_runs('eval_items', 'item_id')}) SELECT DISTINCT doc_id, item_id FROM d JOIN i USING (run)",
     "p5_found": f"SELECT DISTINCT id, category, language FROM {_COUNTED} WHERE token_count IS NULL OR token_count <> tokens",
     "p5_totals": f"SELECT category, language, count(*) AS rows, CAST(sum(tokens) AS BIGINT) AS tokens FROM {_COUNTED} GROUP BY category, language",
     "p9_mix": f"{_MIX} SELECT doc_id, source, tokens, copies FROM mix WHERE copies > 0",
