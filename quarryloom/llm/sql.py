@@ -54,7 +54,18 @@ f AS (SELECT query_id, coalesce(nullif(lower(trim(split)), ''), 'train') AS spli
 n AS (SELECT query_id, split, source, positives, split = 'train' AS train, list_transform(w, lambda x, i: x || '#' || len(list_filter(w[1:i], lambda y: y = x))) AS t FROM f WHERE len(w) > 0 AND split IN ('train', 'test', 'validation'))"""
 _EDITS = "greatest(len(e.t), len(r.t)) - len(list_intersect(e.t, r.t))"
 
+_SPLIT = _SPACE[:-1]
+_BOUNDARY = f"""WITH c AS (SELECT DISTINCT id, content FROM chunks WHERE {_tokens('content')} > 500), k AS (SELECT row_number() OVER () AS n, * FROM c),
+l AS (SELECT n, id, unnest(string_split(content, chr(10))) AS line, generate_subscripts(string_split(content, chr(10)), 1) AS i FROM k),
+f AS (SELECT *, regexp_matches(line, '^{_SPLIT}*```') AS mark, regexp_replace(line, '{_SPACE}', '', 'g') = '' AS blank, sum(CAST(regexp_matches(line, '^{_SPLIT}*```') AS INTEGER)) OVER (PARTITION BY n ORDER BY i) AS marks FROM l),
+p AS (SELECT *, sum(CAST(blank AND marks % 2 = 0 AS INTEGER)) OVER (PARTITION BY n ORDER BY i) AS paragraph FROM f),
+s AS (SELECT n, id, i, paragraph, unnest(string_split(regexp_replace(line, '([.!?]){_SPACE}', '\\1' || chr(1), 'g'), chr(1))) AS sentence FROM p),
+t AS (SELECT n, id, i, paragraph, {_tokens('sentence')} AS m FROM s),
+u AS (SELECT n, any_value(id) AS id, max(m) AS sentences FROM t GROUP BY n), v AS (SELECT n, max(m) AS lines FROM (SELECT n, i, sum(m) AS m FROM t GROUP BY n, i) GROUP BY n), w AS (SELECT n, max(m) AS paragraphs FROM (SELECT n, paragraph, sum(m) AS m FROM t GROUP BY n, paragraph) GROUP BY n)
+SELECT DISTINCT id, CASE WHEN paragraphs <= 460 THEN 'paragraph' WHEN lines <= 460 THEN 'line' WHEN sentences <= 460 THEN 'sentence' ELSE 'word' END AS boundary FROM u JOIN v USING (n) JOIN w USING (n)"""
+
 ORACLE_SQL: dict[str, str] = {
+    "p3_found": _BOUNDARY,
     "p7_found": f"WITH {_FOLDED} SELECT DISTINCT least(e.query_id, r.query_id) AS query_id_a, greatest(e.query_id, r.query_id) AS query_id_b FROM n e JOIN n r ON NOT e.train AND r.train AND len(list_intersect(e.positives, r.positives)) > 0 AND {_EDITS} <= 2",
     "p7_report": f"""WITH {_FOLDED}, k AS (SELECT *, list_sort(t) AS cls FROM n), te AS (SELECT DISTINCT cls AS t FROM k WHERE train), ee AS (SELECT DISTINCT cls AS t FROM k WHERE NOT train),
         best AS (SELECT e.t AS cls, min({_EDITS}) AS edits, count(*) AS links FROM ee e JOIN te r ON {_EDITS} <= 2 AND (len(list_intersect(e.t, r.t)) > 0 OR EXISTS (SELECT 1 FROM k a, k b WHERE a.cls = e.t AND NOT a.train AND b.cls = r.t AND b.train AND len(list_intersect(a.positives, b.positives)) > 0)) GROUP BY e.t)
