@@ -43,6 +43,12 @@ def segments(path: Column, sep: str = PATH_SEP) -> Column:
     return F.filter(F.transform(F.split(F.lower(F.coalesce(path, F.lit(""))), r"\Q" + sep + r"\E"), lambda s: strip(s)), lambda s: s != "")
 
 
+def relative_path(path: Column, root: str) -> Column:
+    """A file path below ``root``, with forward slashes; null raises."""
+    flat = F.regexp_replace(F.coalesce(path, F.raise_error(F.lit("a document without path"))), r"\\", "/")
+    return F.regexp_replace(flat, r"^\Q" + root.rstrip("/") + r"\E/", "")
+
+
 def top_heading(path: Column, heading: Column, sep: str = PATH_SEP) -> Column:
     return F.coalesce(F.try_element_at(segments(path, sep), F.lit(1)), F.lower(blank_to_null(heading)), F.lit(""))
 

@@ -72,7 +72,7 @@ def balance(rows: DataFrame, key: str, ratios: dict[str, float], order: list[str
     empty = targets.agg(F.min("target").alias("least"))
     plan = sums.withColumn("__before", before).join(targets, key, "left").crossJoin(empty).withColumn(
         "__left", F.when(F.col("least") == 0, F.col("__n")).otherwise(F.coalesce("target", F.lit(0)) - F.col("__before"))).select(key, "__b", "__n", "__left")
-    joined = hashed.join(F.broadcast(plan), [key, "__b"])
+    joined = hashed.join(plan, [key, "__b"])
     whole = joined.where(F.col("__left") >= F.col("__n"))
     rank = F.row_number().over(Window.partitionBy(key, "__b").orderBy("__h", *order))
     edge = joined.where((F.col("__left") > 0) & (F.col("__left") < F.col("__n"))).withColumn("__rn", rank).where(F.col("__rn") <= F.col("__left")).drop("__rn")
@@ -82,6 +82,8 @@ def balance(rows: DataFrame, key: str, ratios: dict[str, float], order: list[str
 #: Thresholds of the strategies.
 MEDIUM_PATH, MEDIUM_FILE_PATH, MEDIUM_WORDS = (0.2, 0.5), 0.3, (0.15, 0.4)
 HARD_PATH, HARD_WORDS, HARD_TOP = 0.35, 0.20, 20
+#: The same for pairs of a reranker.
+RERANK_PATH, RERANK_WORDS, RERANK_TOP = 0.5, 0.4, 5
 CROSS_SHARE, SAME_SHARE = 0.3, 0.7
 TABLES_PER_HEADING = 3
 #: Negatives chosen per anchor, so that one is left when the positive and an easier negative are excluded.
@@ -144,11 +146,11 @@ def medium_negatives(anchors: DataFrame, chunks: DataFrame, seed: int = 0) -> Da
     return first_fitting(mine, r, "top", tier, k=CHOICES).select("anchor", "negative", "tier", "choice")
 
 
-def hard_negatives(anchors: DataFrame, chunks: DataFrame, seed: int = 0) -> DataFrame:
+def hard_negatives(anchors: DataFrame, chunks: DataFrame, seed: int = 0, path_least: float = HARD_PATH, words_least: float = HARD_WORDS, top: int = HARD_TOP) -> DataFrame:
     """``anchor, negative, tier, score, choice``: the most confusable chunks under the same top heading, at most ``CHOICES`` an anchor.
 
-    Tier 1: paths alike by 0.35 or first words by 0.2, of which the ``HARD_TOP`` best by 0.6 path + 0.4 words stand for
-    a choice by hash; 2: of the same category, 3: any. For ``CROSS_SHARE`` of all anchors, evenly spread in hash order,
+    Tier 1: paths alike by ``path_least`` or first words by ``words_least``, of which the ``top`` best by 0.6 path + 0.4
+    words stand for a choice by hash; 2: of the same category, 3: any. For ``CROSS_SHARE`` of all anchors, evenly spread in hash order,
     those of another category come first. Every anchor is compared with all chunks of its scope, in blocks of
     ``ANCHORS_PER_TASK`` anchors: exact, at a cost that grows with the square of a scope, and never in one task.
     """
@@ -164,9 +166,9 @@ def hard_negatives(anchors: DataFrame, chunks: DataFrame, seed: int = 0) -> Data
     w = F.when((F.size("awords") > 0) & (F.size("words") > 0), T.jaccard(F.col("awords"), F.col("words"))).otherwise(0.0)
     met = a.join(b, ["top", "block"]).where("anchor <> negative").withColumn("p", p).withColumn("w", w)
     met = met.withColumn("cross", F.col("need") & (F.col("category") != F.col("acategory"))).withColumn(
-        "tier", F.when((F.col("p") >= HARD_PATH) | (F.col("w") >= HARD_WORDS), 1).when(F.col("category") == F.col("acategory"), 2).otherwise(3))
+        "tier", F.when((F.col("p") >= path_least) | (F.col("w") >= words_least), 1).when(F.col("category") == F.col("acategory"), 2).otherwise(3))
     met = met.withColumn("score", F.when(F.col("tier") == 1, F.round(0.6 * F.col("p") + 0.4 * F.col("w"), 9)).otherwise(0.0)).select("anchor", "negative", "tier", "score", "cross")
-    best = first_per_group(met, ["anchor"], ["tier", F.desc("cross"), F.desc("score"), "negative"], HARD_TOP)
+    best = first_per_group(met, ["anchor"], ["tier", F.desc("cross"), F.desc("score"), "negative"], top)
     order = hash_order("anchor", "negative", seed=seed)
     choice = F.row_number().over(Window.partitionBy("anchor").orderBy("tier", F.desc("cross"), order))
     return best.withColumn("choice", choice).where(F.col("choice") <= CHOICES).select("anchor", "negative", "tier", "score", "choice")

@@ -20,7 +20,7 @@ def enumerate_rows(df: DataFrame, order: list[str], name: str = "row") -> DataFr
     counts = base.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))  # a row per range
     before = counts.select("__part", F.coalesce(F.sum("__n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"))
     within = base.withColumn("__rn", F.row_number().over(Window.partitionBy("__part").orderBy(*order)))
-    return within.join(F.broadcast(before), "__part").withColumn(name, (F.col("__rn") + F.col("__before")).cast("bigint")).select(*df.columns, name)
+    return within.join(before, "__part").withColumn(name, (F.col("__rn") + F.col("__before")).cast("bigint")).select(*df.columns, name)
 
 
 def link_prev_next(chunks: DataFrame, scope: str = "file") -> DataFrame:
@@ -37,7 +37,7 @@ def link_prev_next(chunks: DataFrame, scope: str = "file") -> DataFrame:
     ends = base.groupBy("__part").agg(F.min_by(own, key).alias("__first"), F.max_by(own, key).alias("__last"))  # a row per range
     o = Window.orderBy("__part")
     ends = ends.select("__part", F.lag("__last").over(o).alias("__prev"), F.lead("__first").over(o).alias("__next"))
-    out = base.withColumn("__p", F.lag(own).over(w)).withColumn("__n", F.lead(own).over(w)).join(F.broadcast(ends), "__part")
+    out = base.withColumn("__p", F.lag(own).over(w)).withColumn("__n", F.lead(own).over(w)).join(ends, "__part")
     links = []
     for name, near, far in (("prev", "__p", "__prev"), ("next", "__n", "__next")):
         link = F.coalesce(near, far)

@@ -41,7 +41,7 @@ def split_rows(df: DataFrame, by: list[str], key: str, share: float = 0.8, seed:
     cond = F.col("__b") == F.col("__pb")
     for c in by:
         cond = cond & F.col(c).eqNullSafe(F.col(f"__p_{c}"))
-    joined = hashed.join(F.broadcast(plan), cond).drop("__pb", *[f"__p_{c}" for c in by])
+    joined = hashed.join(plan, cond).drop("__pb", *[f"__p_{c}" for c in by])
     sure = joined.where((F.col("__left") <= 0) | (F.col("__left") >= F.col("__n"))).withColumn("split", F.when(F.col("__left") <= 0, "test").otherwise("train"))
     rank = F.row_number().over(Window.partitionBy(*by, "__b").orderBy("__h", key))
     edge = joined.where((F.col("__left") > 0) & (F.col("__left") < F.col("__n"))).withColumn("split", F.when(rank <= F.col("__left"), "train").otherwise("test"))

@@ -79,7 +79,8 @@ _SEPARATOR = re.compile(r"^\s*\|?\s*:?-+:?\s*(\|\s*:?-+:?\s*)*\|?\s*$")
 
 
 def _pipe(line: str) -> bool:
-    return line.count("|") - line.count("\\|") >= 1 and bool(line.strip())
+    """A row of a pipe table; the first and last line of a wiki table are none."""
+    return line.count("|") - line.count("\\|") >= 1 and not line.strip().startswith(("{|", "|}"))
 
 
 def table_spans(text: str) -> list[tuple[int, int, str]]:

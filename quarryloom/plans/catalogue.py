@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from quarryloom.operators.forest import chunk_forest, descendants, hierarchy_defects
 from quarryloom.plans import document_queries, evaluation_queries, relational_queries, scalar_queries  # noqa: F401  (register their queries)
-from quarryloom.plans.registry import ORACLE_SQL, QUERIES
+from quarryloom.plans.document_sql import rollup_sql
+from quarryloom.plans.registry import CHUNKS, ORACLE_SQL, QUERIES
 from quarryloom.runtime import read_table
 
 #: Lexical retrieval: BM25 top 10 of every evaluation item over all documents.
@@ -29,6 +30,8 @@ def p6_descendants(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES.update({f.__name__: f for f in (p6_found, p6_tree, p6_descendants)})
 
+_SUMMARY = "CASE WHEN regexp_replace(c.chunk_summary, '^\\s+|\\s+$', '', 'g') <> '' AND lower(regexp_replace(c.chunk_summary, '^\\s+|\\s+$', '', 'g')) <> 'false' THEN c.chunk_summary END"
+
 _P6 = """
 WITH RECURSIVE n AS (SELECT DISTINCT ON (id) id, nullif(parent_id, '') AS parent, coalesce(heading, '') AS heading, concat_header_path AS stored FROM chunks ORDER BY id, loaded_at DESC),
 up(id, top, nxt, path, steps) AS (
@@ -43,3 +46,5 @@ ORACLE_SQL["p6_tree"] = _P6 + """
 SELECT id, status, CASE WHEN status = 'root' THEN top END AS root, CASE WHEN status IN ('root', 'dangling') THEN CAST(steps AS INTEGER) END AS depth, CASE WHEN status IN ('root', 'dangling') THEN path END AS path FROM s"""
 ORACLE_SQL["p6_descendants"] = _P6 + """
 SELECT u.top AS ancestor, u.id AS descendant, CAST(u.steps AS INTEGER) AS distance FROM up u JOIN s ON s.id = u.id WHERE s.status IN ('root', 'dangling') AND u.steps > 0"""
+
+ORACLE_SQL["q_h3_h4_h5_page_rollup"] = rollup_sql(CHUNKS, ORACLE_SQL["p6_tree"], _SUMMARY)

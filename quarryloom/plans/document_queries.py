@@ -103,12 +103,12 @@ def c6(spark, d):
     return chunks(spark, d, "content", "chunk_type").where("chunk_type = 'example'").select("id", F.posexplode(split("content")).alias("part", "code"))
 
 
-@query("q_t2_pipe_tables")
+@query("q_t2_pipe_tables", S.pipe_to_csv_sql(CHUNKS))
 def t2(spark, d):
     return chunks(spark, d, "content").select("id", markdown.text_udf(tables.pipe_tables_to_csv)(F.col("content")).alias("content"))
 
 
-@query("q_t3_t4_t5_table_spans")
+@query("q_t3_t4_t5_table_spans", S.table_spans_sql(CHUNKS))
 def t3(spark, d):
     @F.pandas_udf("array<struct<start:int,end:int,kind:string,rows:int>>")
     def spans(s: pd.Series) -> pd.Series:
@@ -126,7 +126,7 @@ def t6(spark, d):
     return chunks(spark, d, "content", "chunk_type").where("chunk_type = 'table'").select("id", F.explode(split("content")).alias("x")).select("id", "x.*")
 
 
-@query("q_m20_decorate_tables")
+@query("q_m20_decorate_tables", S.decorated_sql(CHUNKS))
 def m20(spark, d):
     @F.pandas_udf("string")
     def caption(h: pd.Series, t: pd.Series) -> pd.Series:
@@ -315,12 +315,24 @@ def k22(spark, d):
     return chunks(spark, d, "heading", "chunk_type").where(F.col("heading").like("How the %")).groupBy("chunk_type").agg(F.count(F.lit(1)).alias("chunks"))
 
 
-@query("q_u1_q4_summarise")
+@query("q_k22_delete_like", f"SELECT chunk_type, count(*) AS chunks FROM {CHUNKS} WHERE NOT coalesce(heading LIKE 'How the %', false) GROUP BY chunk_type")
+def k22b(spark, d):
+    """What a deletion by pattern leaves."""
+    return writers.delete_like(chunks(spark, d, "heading", "chunk_type"), "heading", "How the %").groupBy("chunk_type").agg(F.count(F.lit(1)).alias("chunks"))
+
+
+@query("q_e2_relative_paths", f"SELECT id, regexp_replace(replace('/data/docs/' || filename, '/sub/', chr(92)), '^/data/docs/', '') AS path FROM {CHUNKS} WHERE filename IS NOT NULL")
+def e2(spark, d):
+    full = F.replace(F.concat(F.lit("/data/docs/"), "filename"), F.lit("/sub/"), F.lit("\\"))
+    return chunks(spark, d, "filename").where("filename IS NOT NULL").select("id", T.relative_path(full, "/data/docs/").alias("path"))
+
+
+@query("q_u1_q4_summarise", f"SELECT id, CASE WHEN len({tok_sql('content')}) >= 50 THEN regexp_replace({strip_sql('content')}, '([.!?])\\s.*$', '\\1', 's') ELSE '' END AS chunk_summary FROM {CHUNKS}")
 def u1(spark, d):
     return summaries.summarise(chunks(spark, d, "content", "chunk_summary"), "extractive", 50).select("id", "chunk_summary")
 
 
-@query("q_u2_p9_missing_vectors")
+@query("q_u2_p9_missing_vectors", f"SELECT id, CASE WHEN len({tok_sql('content')}) > 0 THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS norm FROM {CHUNKS} WHERE NOT {valid_sql('embedding')}")
 def u2(spark, d):
     """Missing vectors filled by the offline encoder."""
     from quarryloom.functions import vectors as V

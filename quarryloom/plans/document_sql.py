@@ -87,3 +87,55 @@ def duplicates_sql(rows: str) -> str:
     """Duplicate headings of ``rows``: a statement of ``file, seq, heading, level``."""
     return f"""WITH b AS ({rows}), p AS (SELECT a.file, a.seq, a.heading, a.level, max(c.seq) AS parent_seq FROM b a LEFT JOIN b c ON c.file = a.file AND c.seq < a.seq AND c.level < a.level GROUP BY ALL)
       SELECT file, parent_seq, heading, level, list(seq ORDER BY seq) AS places FROM p GROUP BY file, parent_seq, heading, level HAVING count(*) > 1"""
+
+
+def chunk_lines_sql(chunks: str) -> str:
+    """Common tables ``x`` over chunk contents: ``doc_id`` (the id), ``i, line, fenced`` and ``ofs``, the line's offset in characters."""
+    return lines_sql(f"(SELECT id AS doc_id, content AS text FROM {chunks} WHERE content IS NOT NULL)") + rf""",
+      o AS (SELECT *, CAST(coalesce(sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS INTEGER) AS ofs FROM x)"""
+
+
+_SEPARATOR = r"^\s*\|?\s*:?-+:?\s*(\|\s*:?-+:?\s*)*\|?\s*$"
+_WIDTH = """length(regexp_replace(line, '"[^"]*"', '', 'g')) - length(replace(regexp_replace(line, '"[^"]*"', '', 'g'), ',', '')) + 1"""
+
+
+def _pipe_runs(chunks: str) -> str:
+    """Tables of pipe rows: ``p`` holds their lines with the number ``run`` of the table and ``k``, the place in it."""
+    return rf"""{chunk_lines_sql(chunks)}, r AS (SELECT *, NOT fenced AND starts_with(ltrim(line), '|') AS pipe FROM o),
+      b AS (SELECT *, sum(CAST(NOT pipe AS INTEGER)) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM r),
+      q AS (SELECT *, row_number() OVER (PARTITION BY doc_id, run ORDER BY i) AS k, lead(line) OVER (PARTITION BY doc_id, run ORDER BY i) AS nxt FROM b WHERE pipe),
+      p AS (SELECT * FROM q WHERE (doc_id, run) IN (SELECT doc_id, run FROM q WHERE k = 1 AND regexp_matches(coalesce(nxt, ''), '{_SEPARATOR}') AND contains(nxt, '|')))"""
+
+
+def table_spans_sql(chunks: str) -> str:
+    return f"""WITH {_pipe_runs(chunks)}, m AS (SELECT doc_id, i, ofs FROM o WHERE NOT fenced AND trim(line) = '<!-- Data Table -->'),
+      hd AS (SELECT m.doc_id, m.i, m.ofs, min(o.i) AS first FROM m JOIN o ON o.doc_id = m.doc_id AND o.i > m.i AND trim(o.line) <> '' AND NOT starts_with(o.line, 'Table:') GROUP BY ALL),
+      w AS (SELECT hd.*, {_WIDTH} AS width FROM hd JOIN o ON o.doc_id = hd.doc_id AND o.i = hd.first),
+      e AS (SELECT w.doc_id, w.i, w.ofs, w.first, w.width, coalesce(min(o.i), max(n.last) + 1) AS stop FROM w JOIN (SELECT doc_id, max(i) AS last FROM o GROUP BY doc_id) n ON n.doc_id = w.doc_id
+        LEFT JOIN o ON o.doc_id = w.doc_id AND o.i > w.first AND (trim(o.line) = '' OR o.fenced OR {_WIDTH} <> w.width) GROUP BY ALL)
+      SELECT e.doc_id AS id, e.ofs AS start, CAST(o.ofs + length(o.line) AS INTEGER) AS "end", 'csv' AS kind, CAST(stop - first AS INTEGER) AS rows FROM e JOIN o ON o.doc_id = e.doc_id AND o.i = e.stop - 1 WHERE width >= 2 AND stop - first >= 2
+      UNION ALL SELECT doc_id, min(ofs), CAST(max(ofs + length(line)) AS INTEGER), 'pipe', CAST(count(*) FILTER (NOT regexp_matches(line, '{_SEPARATOR}')) AS INTEGER) FROM p GROUP BY doc_id, run"""
+
+
+def pipe_to_csv_sql(chunks: str) -> str:
+    cells = "list_transform(string_split(trim(trim(line), '|'), '|'), lambda c: trim(c))"
+    row = f"""array_to_string(list_transform({cells}, lambda c, n: CASE WHEN c = '' AND k = 1 THEN 'Column ' || n WHEN regexp_matches(c, '[,"]') THEN '"' || replace(c, '"', '""') || '"' ELSE c END), ',')"""
+    return f"""WITH {_pipe_runs(chunks)}, t AS (SELECT o.doc_id, o.i, CASE WHEN p.i IS NULL THEN o.line WHEN p.k = 1 THEN '<!-- Data Table -->' || chr(10) || p.text WHEN p.k <> 2 THEN p.text END AS line
+        FROM o LEFT JOIN (SELECT doc_id, i, k, {row} AS text FROM p) p ON p.doc_id = o.doc_id AND p.i = o.i)
+      SELECT c.id, a.content FROM {chunks} c LEFT JOIN (SELECT doc_id, string_agg(line, chr(10) ORDER BY i) AS content FROM t GROUP BY doc_id) a ON a.doc_id = c.id"""
+
+
+def decorated_sql(chunks: str) -> str:
+    return f"""WITH {chunk_lines_sql(f"(SELECT * FROM {chunks} WHERE chunk_type = 'table')")}, b AS (SELECT doc_id, i, line, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS k, count(*) OVER (PARTITION BY doc_id) AS n
+        FROM o WHERE trim(line) <> '' AND trim(line) <> '<!-- Data Table -->' AND NOT starts_with(line, 'Table:')),
+      g AS (SELECT doc_id, max(n) - 1 AS rows, max(CASE WHEN k = 2 THEN split_part(line, ',', 1) END) AS first, max(CASE WHEN k = n THEN split_part(line, ',', 1) END) AS last FROM b GROUP BY doc_id),
+      y AS (SELECT doc_id, string_agg(line, chr(10) ORDER BY i) AS body FROM o WHERE trim(line) <> '<!-- Data Table -->' AND NOT starts_with(line, 'Table:') GROUP BY doc_id)
+      SELECT c.id, CASE WHEN coalesce(g.rows, 0) < 1 THEN coalesce(c.content, '') ELSE '<!-- Data Table -->' || chr(10) || 'Table: ' || coalesce(c.heading, '') || ' (from ' || g.first || ' to ' || g.last || ': ' || g.rows || ' rows)' || chr(10) || coalesce(y.body, '') END AS content
+      FROM (SELECT * FROM {chunks} WHERE chunk_type = 'table') c LEFT JOIN g ON g.doc_id = c.id LEFT JOIN y ON y.doc_id = c.id"""
+
+
+def rollup_sql(chunks: str, tree: str, summary: str) -> str:
+    """Page rollup: ``tree`` states ``id, root``; ``summary`` the summary or null."""
+    return f"""WITH f AS (SELECT id, root FROM ({tree})), k AS (SELECT c.id, c.pos, c.content, {summary} AS s, coalesce(f.root, c.filename) AS key FROM {chunks} c LEFT JOIN f ON f.id = c.id)
+      SELECT key, count(*) AS members, CAST(sum(len(list_filter(string_split_regex(lower(coalesce(content, '')), '\\s+'), lambda w: w <> ''))) AS BIGINT) AS tokens,
+        concat_ws(chr(10), max(CASE WHEN id = key THEN content END), coalesce(string_agg('- ' || s, chr(10) ORDER BY pos, s) FILTER (s IS NOT NULL), '')) AS text FROM k GROUP BY key"""

@@ -400,16 +400,20 @@ _MEDIUM = f"""mr AS (SELECT *, row_number() OVER (PARTITION BY top ORDER BY h, i
     FROM mr a JOIN mr c ON a.top = c.top AND a.id <> c.id WHERE c.allowed),
   mt AS (SELECT anchor, negative, off, CASE WHEN coalesce(p BETWEEN 0.2 AND 0.5 OR (p < 0.3 AND infile), false) THEN 1 WHEN coalesce(w BETWEEN 0.15 AND 0.4, false) THEN 3 ELSE 5 END + CAST(same AS INTEGER) AS tier FROM mp),
   medium AS (SELECT anchor, negative, tier, CAST(row_number() OVER (PARTITION BY anchor ORDER BY tier, off) AS INTEGER) AS choice FROM mt QUALIFY choice <= 3)"""
-_HARD = f"""hr AS (SELECT *, row_number() OVER (ORDER BY h, id) AS rn FROM mc),
+def _hard_sql(path_least: float = 0.35, words_least: float = 0.2, top: int = 20) -> str:
+    return f"""hr AS (SELECT *, row_number() OVER (ORDER BY h, id) AS rn FROM mc),
   ha AS (SELECT *, floor(rn * CAST(0.3 AS DOUBLE)) > floor((rn - 1) * CAST(0.3 AS DOUBLE)) AS need FROM hr),
   hp AS (SELECT a.id AS anchor, c.id AS negative, a.need AND a.category <> c.category AS cross_source, a.category = c.category AS same,
     CASE WHEN len(a.path) > 0 AND len(c.path) > 0 THEN {_jaccard_sql('a.path', 'c.path')} ELSE 0.0 END AS p, CASE WHEN len(a.words) > 0 AND len(c.words) > 0 THEN {_jaccard_sql('a.words', 'c.words')} ELSE 0.0 END AS w
     FROM ha a JOIN mc c ON a.top = c.top AND a.id <> c.id),
-  ht AS (SELECT *, CASE WHEN p >= 0.35 OR w >= 0.2 THEN 1 WHEN same THEN 2 ELSE 3 END AS tier, CASE WHEN tier = 1 THEN round(CAST(0.6 AS DOUBLE) * p + CAST(0.4 AS DOUBLE) * w, 9) ELSE 0.0 END AS score FROM hp),
-  hb AS (SELECT * FROM ht QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY tier, cross_source DESC, score DESC, negative) <= 20),
+  ht AS (SELECT *, CASE WHEN p >= {path_least} OR w >= {words_least} THEN 1 WHEN same THEN 2 ELSE 3 END AS tier, CASE WHEN tier = 1 THEN round(CAST(0.6 AS DOUBLE) * p + CAST(0.4 AS DOUBLE) * w, 9) ELSE 0.0 END AS score FROM hp),
+  hb AS (SELECT * FROM ht QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY tier, cross_source DESC, score DESC, negative) <= {top}),
   hard AS (SELECT anchor, negative, tier, score, CAST(row_number() OVER (PARTITION BY anchor ORDER BY tier, cross_source DESC, md5('0:' || anchor || ':' || negative)) AS INTEGER) AS choice FROM hb QUALIFY choice <= 3)"""
 
 
+_HARD = _hard_sql()
+
+
 @query("q_p2_easy_negatives", f"WITH {_MINED}, {_EASY} SELECT * FROM easy")
 def p2(spark, d):
     c = _mining_chunks(spark, d)
@@ -428,6 +432,12 @@ def p4(spark, d):
     return mining.hard_negatives(c, c).withColumn("score", F.round("score", 6))
 
 
+@query("q_p11_rerank_negatives", f"WITH {_MINED}, {_hard_sql(mining.RERANK_PATH, mining.RERANK_WORDS, mining.RERANK_TOP)} SELECT anchor, negative, tier, round(score, 6) AS score, choice FROM hard")
+def p11(spark, d):
+    c = _mining_chunks(spark, d)
+    return mining.hard_negatives(c, c, path_least=mining.RERANK_PATH, words_least=mining.RERANK_WORDS, top=mining.RERANK_TOP).withColumn("score", F.round("score", 6))
+
+
 @query("q_p6_negative_pairs", f"""WITH {_MINED}, {_pairs_sql()}, nr AS (SELECT *, row_number() OVER (ORDER BY h, id) AS rn, count(*) OVER () AS n, min(category) OVER () < max(category) OVER () AS cats, min(filename) OVER () < max(filename) OVER () AS files FROM mc),
   np AS (SELECT a.id AS anchor, c.id AS negative, CASE WHEN a.category <> c.category THEN 1 WHEN a.filename IS DISTINCT FROM c.filename THEN 2 ELSE 3 END AS tier, (c.rn - a.rn + a.n) % a.n AS off
     FROM nr a JOIN nr c ON a.id <> c.id WHERE a.id IN (SELECT anchor FROM pairs)),

@@ -73,6 +73,11 @@ def upsert(existing: DataFrame, incoming: DataFrame, key: str, order: str | None
     return newest.unionByName(existing.join(newest.select(key), key, "left_anti").select(*existing.columns), allowMissingColumns=True)
 
 
+def delete_like(rows: DataFrame, column: str, pattern: str) -> DataFrame:
+    """Rows whose column isn't like the SQL pattern; nulls stay."""
+    return rows.where(~F.coalesce(F.col(column).like(pattern), F.lit(False)))
+
+
 def infer_dim(chunks: DataFrame, explicit: int | None = None, default: int = 1536) -> int:
     """The stated vector length, else that of the first vector, else the default."""
     if explicit:
