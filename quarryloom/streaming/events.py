@@ -53,18 +53,51 @@ def running_totals(events: DataFrame, late: str = LATE) -> DataFrame:
     return events.groupBy("user_id").applyInPandasWithState(update, "user_id bigint, events bigint, total double", "n bigint, total double", "update", "NoTimeout")
 
 
-def upsert_batches(target: str, key: str, order: str) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function that merges each batch into a Parquet folder, version by version, so that a lost job leaves the last version whole."""
+BUCKETS = 64
+
+
+def _latest(spark: SparkSession, target: str, before: int | None = None) -> dict[int, str]:
+    """The newest folder of each bucket among the whole versions (below ``before``)."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    root = hadoop.Path(target)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return {}
+    names = [s.getPath().getName() for s in fs.listStatus(root)]
+    out: dict[int, str] = {}
+    for v in sorted(int(n[1:]) for n in names if n.startswith("v") and n[1:].isdigit() and (before is None or int(n[1:]) < before)):
+        folder = hadoop.Path(f"{target}/v{v}")
+        if fs.exists(hadoop.Path(folder, "_SUCCESS")):
+            for b in fs.listStatus(folder):
+                if b.getPath().getName().startswith("bucket="):
+                    out[int(b.getPath().getName()[7:])] = f"{target}/v{v}/{b.getPath().getName()}"
+    return out
+
+
+def read_store(spark: SparkSession, target: str) -> DataFrame:
+    """The rows of a store that ``upsert_batches`` keeps: of each bucket its newest version. Raises where there is no store."""
+    return spark.read.parquet(*_latest(spark, target).values())
+
+
+def upsert_batches(target: str, key: str, order: str, buckets: int = BUCKETS) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function that merges each batch into a store of Parquet folders ``v<batch>/bucket=<n>``.
+
+    Rows lie in buckets by the hash of their key. A batch reads and writes the buckets of its own keys only; a version
+    counts once it is whole, so a lost job leaves the last one, and a batch that comes again writes the same. Read it
+    with ``read_store``.
+    """
     from quarryloom.sources.writers import upsert
 
+    bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
     def run(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-        root = hadoop.Path(target)
-        fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        have = sorted(int(s.getPath().getName()[1:]) for s in fs.listStatus(root) if s.getPath().getName().startswith("v") and fs.exists(hadoop.Path(s.getPath(), "_SUCCESS"))) if fs.exists(root) else []
-        before = [v for v in have if v < number]
-        old = spark.read.parquet(f"{target}/v{before[-1]}") if before else batch.limit(0)
-        upsert(old, batch, key, order).write.mode("overwrite").parquet(f"{target}/v{number}")
+        batch = batch.where(F.col(key).isNotNull())
+        touched = {r[0] for r in batch.select(bucket.alias("b")).distinct().collect()}  # at most ``buckets``
+        if not touched:
+            return
+        paths = [p for b, p in _latest(spark, target, number).items() if b in touched]
+        old = spark.read.schema(batch.schema).parquet(*paths) if paths else batch.limit(0)
+        upsert(old, batch, key, order).withColumn("bucket", bucket).repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{target}/v{number}")
 
     return run

@@ -233,4 +233,12 @@ def test_stream_equals_batch_and_late_rows_go(spark, tmp_path):
     assert spark.table("mem_r").agg(F.sum("events")).first()[0] == 41
     q = s.writeStream.foreachBatch(stream.upsert_batches(str(tmp_path / "up"), "event_id", "ts")).option("checkpointLocation", str(tmp_path / "cpu")).trigger(availableNow=True).start()
     q.awaitTermination(120)
-    assert spark.read.parquet(str(tmp_path / "up" / "v0")).count() == 40
+    assert stream.read_store(spark, str(tmp_path / "up")).count() == 40
+    run = stream.upsert_batches(str(tmp_path / "store"), "event_id", "ts", 4)
+    first = spark.createDataFrame(rows[:10], stream.SCHEMA)
+    again = spark.createDataFrame([(3, base + dt.timedelta(days=9), 0, "new", 2.0, "{}"), (None, base, 0, "t", 1.0, "{}")], stream.SCHEMA)
+    for batch, number in ((first, 0), (again, 1), (again, 1), (again.limit(0), 2)):
+        run(batch, number)
+    kept = {r.event_id: r.event_type for r in stream.read_store(spark, str(tmp_path / "store")).collect()}
+    assert kept == {i: "new" if i == 3 else "t" for i in range(10)}
+    assert len(list((tmp_path / "store" / "v1").glob("bucket=*"))) == 1
