@@ -49,3 +49,14 @@ def only_maybe(rows: DataFrame, column: str, keys: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(b.columns[1:], names=b.schema.names[1:]).filter(pa.array(keep))
 
     return rows.select(F.xxhash64(column).alias("__h"), *rows.columns).mapInArrow(work, schema)
+
+
+SALTS = 16
+
+
+def salted_join(many: DataFrame, few: DataFrame, on: list[str], by: str) -> DataFrame:
+    """Inner join on keys of which one may be in a third of the rows of ``many``: its rows go to ``SALTS`` places by the hash
+    of their column ``by``, and every row of ``few`` to each of them."""
+    salt = F.pmod(F.xxhash64(by), F.lit(SALTS)).cast("int")
+    everywhere = few.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return many.withColumn("__salt", salt).join(everywhere, [*on, "__salt"]).drop("__salt")

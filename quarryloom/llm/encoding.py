@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarryloom.llm.bits import salted_join
 from quarryloom.runtime import cut
 
 #: Single-byte character sets taken as the wrong reading, and as the true one of single-byte text.
@@ -226,7 +227,7 @@ def garbled_words(documents: DataFrame) -> DataFrame:
     some = documents.select("doc_id", "text").where(F.length("text") != F.octet_length("text"))
     doc_words = cut(some.mapInArrow(_doc_words, f"doc_id {documents.schema['doc_id'].dataType.simpleString()}, words array<string>"))
     repairs = word_repairs(doc_words)
-    return doc_words.select("doc_id", F.explode("words").alias("word")).join(repairs, "word").select("doc_id", "word", "original", "chain")
+    return salted_join(doc_words.select("doc_id", F.explode("words").alias("word")), repairs, ["word"], "doc_id").select("doc_id", "word", "original", "chain")
 
 
 def garbled_documents(documents: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarryloom.llm.bits import bit_table, maybe, only_maybe
+from quarryloom.llm.bits import bit_table, maybe, only_maybe, salted_join
 from quarryloom.llm.words import WordIds, ngram_hashes, plain_words, word_hashes
 from quarryloom.runtime import cut, spread
 
@@ -72,7 +72,7 @@ def gram_hits(documents: DataFrame, grams: DataFrame, n: int = SEED_WORDS) -> Da
 
     docs = documents.select(F.col("doc_id").cast("bigint"), "text").where(F.col("text").isNotNull() & F.col("doc_id").isNotNull())
     found = docs.mapInArrow(work, "doc_id bigint, gram bigint, dpos int")
-    return found.join(grams.select("gram").distinct(), "gram").select("doc_id", "gram", "dpos").distinct()
+    return salted_join(found, grams.select("gram").distinct(), ["gram"], "doc_id").select("doc_id", "gram", "dpos").distinct()
 
 
 def rare_seeds(grams: DataFrame, frequencies: DataFrame, run: int = RUN_WORDS, n: int = SEED_WORDS) -> DataFrame:
@@ -120,9 +120,9 @@ def seeded_pairs(hits: DataFrame, seeds: DataFrame, grams: DataFrame, n: int = S
     def bands():
         return F.explode(F.array(diagonal, diagonal + 1)).alias("band")
 
-    met = hits.join(seeds, "gram").select("doc_id", "item_id", "gram", "weight", bands()).distinct()
+    met = salted_join(hits, seeds, ["gram"], "doc_id").select("doc_id", "item_id", "gram", "weight", bands()).distinct()
     met = met.groupBy("doc_id", "item_id", "band").agg(F.sum("weight").alias("weight")).where(F.col("weight") >= PER_WINDOW).select("doc_id", "item_id", "band")
-    own = met.select("doc_id", "item_id").distinct().join(hits, "doc_id").join(grams, ["item_id", "gram"]).select("doc_id", "item_id", "pos", "dpos", bands())
+    own = salted_join(met.select("doc_id", "item_id").distinct().join(hits, "doc_id"), grams, ["item_id", "gram"], "doc_id").select("doc_id", "item_id", "pos", "dpos", bands())
     own = own.join(met, ["doc_id", "item_id", "band"]).groupBy("doc_id", "item_id", "band").agg(
         F.array_sort(F.collect_set("pos")).alias("held"), F.collect_set("dpos").alias("at"))
     steps = F.transform(F.sequence(F.lit(1), F.size("held") - 1), lambda i: F.least(F.get("held", i) - F.get("held", i - 1), F.lit(n)))

@@ -8,6 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarryloom.llm.bits import salted_join
 from quarryloom.llm.words import words
 from quarryloom.runtime import cut, latest
 
@@ -80,7 +81,7 @@ def class_pairs(classes: DataFrame, max_edits: int = MAX_EDITS) -> DataFrame:
     """
     words_of = classes.select("cls", F.explode("tokens").alias("token"))
     df = words_of.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
-    ranked = words_of.join(df, "token").groupBy("cls").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("ranked"))
+    ranked = salted_join(words_of, df, ["token"], "cls").groupBy("cls").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("ranked"))
     ranked = cut(classes.select("cls", "in_train", "in_eval").join(ranked.select("cls", F.col("ranked.token").alias("ranked")), "cls"))
     short = ranked.where(F.size("ranked") < max_edits + SHINGLE)
     met = _meetings(ranked, SHINGLE, max_edits).unionByName(_meetings(short, 1, max_edits))
