@@ -44,7 +44,7 @@ _step("q_m11_blank_after_headings", markdown.blank_after_headings, sql=S.M11)
 _step("q_m12_m13_unwrap_comments", markdown.unwrap_comments, sql=S.M12)
 _step("q_c3_c4_c5_c9_format_fences", code.format_fences)
 _step("q_t1_html_tables", tables.html_tables_to_csv, sql=S.T1)
-_step("q_t10_move_error_tables", tables.move_error_tables)
+_step("q_t10_move_error_tables", tables.move_error_tables, sql=S.T1)
 
 
 @query("q_m5_ensure_h1", S.M5)
@@ -83,7 +83,7 @@ def m16(spark, d):
     return c.select("id", merged("metadata_title", "metadata_category", "tags").alias("block"))
 
 
-@query("q_c1_c2_detect_language")
+@query("q_c1_c2_detect_language", S.fence_languages_sql(CHUNKS))
 def c1(spark, d):
     """Fences by detected language against their tag."""
 
@@ -195,7 +195,7 @@ def g8(spark, d):
     return chunks(spark, d, "embedding").where(V.valid(F.col("embedding"), 48)).select("id", F.round(sections.reduce_scores(m), 6).alias("score"))
 
 
-@query("q_g9_j13_toc_headings")
+@query("q_g9_j13_toc_headings", S.G9)
 def g9(spark, d):
     """Headings stripped of their marks and rebuilt from their own table of contents."""
 

@@ -139,3 +139,21 @@ def rollup_sql(chunks: str, tree: str, summary: str) -> str:
     return f"""WITH f AS (SELECT id, root FROM ({tree})), k AS (SELECT c.id, c.pos, c.content, {summary} AS s, coalesce(f.root, c.filename) AS key FROM {chunks} c LEFT JOIN f ON f.id = c.id)
       SELECT key, count(*) AS members, CAST(sum(len(list_filter(string_split_regex(lower(coalesce(content, '')), '\\s+'), lambda w: w <> ''))) AS BIGINT) AS tokens,
         concat_ws(chr(10), max(CASE WHEN id = key THEN content END), coalesce(string_agg('- ' || s, chr(10) ORDER BY pos, s) FILTER (s IS NOT NULL), '')) AS text FROM k GROUP BY key"""
+
+
+G9 = f"""WITH {lines_sql()} SELECT doc_id, string_agg(CASE WHEN NOT fenced AND regexp_matches(line, '{_BLOCK}') THEN regexp_extract(line, '{_BLOCK}', 1) || ' ' || regexp_extract(line, '{_BLOCK}', 2)
+    WHEN starts_with(line, '#') THEN trim(ltrim(line, '#')) ELSE line END, chr(10) ORDER BY i) AS text FROM x GROUP BY doc_id"""
+
+
+def fence_languages_sql(chunks: str) -> str:
+    """Closed fences by their tag and the language that their signs show."""
+    from quarryloom.operators.code import SIGNS
+
+    quote = chr(39)
+    signs = " ".join(f"WHEN regexp_matches(code, '(?m{'i' if name == 'sql' else ''}){rx.replace(quote, quote * 2)}') THEN '{name}'" for name, rx in SIGNS)
+    return rf"""WITH {chunk_lines_sql(chunks)}, n AS (SELECT doc_id, i, line, regexp_matches(line, '^\s*```') AS mark, sum(CAST(regexp_matches(line, '^\s*```') AS INTEGER)) OVER (PARTITION BY doc_id ORDER BY i) AS marks FROM x),
+      g AS (SELECT doc_id, (marks + 1) // 2 AS fence, max(CASE WHEN mark AND marks % 2 = 1 THEN lower(regexp_extract(line, '^[ \t]*```([A-Za-z0-9_+\-.#]*)', 1)) END) AS tag,
+        coalesce(string_agg(CASE WHEN NOT mark THEN line END, chr(10) ORDER BY i), '') AS code, count(*) FILTER (mark AND marks % 2 = 0) AS closed FROM n WHERE marks % 2 = 1 OR mark GROUP BY doc_id, (marks + 1) // 2),
+      d AS (SELECT tag, CASE WHEN json_valid(trim(code)) AND left(trim(code), 1) IN ('{{', '[') THEN 'json' WHEN regexp_matches(code, '(?m)^\s*<MIFFile\b') THEN 'mif'
+        WHEN starts_with(ltrim(code), '<') AND regexp_matches(code, '(?i)^\s*<(!doctype html|html|head|body|div|p|ul|table|a)\b') THEN 'html' WHEN starts_with(ltrim(code), '<') THEN 'xml' {signs} ELSE 'text' END AS found FROM g WHERE closed > 0)
+      SELECT tag, found, count(*) AS fences FROM d GROUP BY tag, found"""
