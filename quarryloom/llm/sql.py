@@ -64,7 +64,13 @@ t AS (SELECT n, id, i, paragraph, {_tokens('sentence')} AS m FROM s),
 u AS (SELECT n, any_value(id) AS id, max(m) AS sentences FROM t GROUP BY n), v AS (SELECT n, max(m) AS lines FROM (SELECT n, i, sum(m) AS m FROM t GROUP BY n, i) GROUP BY n), w AS (SELECT n, max(m) AS paragraphs FROM (SELECT n, paragraph, sum(m) AS m FROM t GROUP BY n, paragraph) GROUP BY n)
 SELECT DISTINCT id, CASE WHEN paragraphs <= 460 THEN 'paragraph' WHEN lines <= 460 THEN 'line' WHEN sentences <= 460 THEN 'sentence' ELSE 'word' END AS boundary FROM u JOIN v USING (n) JOIN w USING (n)"""
 
+_VECTORS = " UNION ALL ".join(
+    f"SELECT DISTINCT '{f}' AS field, id, CAST({f} AS DOUBLE[]) AS v FROM chunks WHERE id IS NOT NULL AND len({f}) = 48 AND len(list_filter({f}, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter({f}, lambda x: x <> 0)) > 0"
+    for f in ("embedding", "embedding_summary_chunk", "embedding_summary_page"))
+
 ORACLE_SQL: dict[str, str] = {
+    "p2_found": f"""WITH u AS ({_VECTORS}), c AS (SELECT a.field, a.id AS x, b.id AS y, list_cosine_similarity(a.v, b.v) AS cosine FROM u a JOIN u b ON a.field = b.field AND a.id <> b.id),
+        near AS (SELECT * FROM c WHERE cosine >= 0.93 QUALIFY row_number() OVER (PARTITION BY field, x ORDER BY round(cosine, 9) DESC, y) <= 10) SELECT DISTINCT field, least(x, y) AS id_a, greatest(x, y) AS id_b FROM near""",
     "p3_found": _BOUNDARY,
     "p7_found": f"WITH {_FOLDED} SELECT DISTINCT least(e.query_id, r.query_id) AS query_id_a, greatest(e.query_id, r.query_id) AS query_id_b FROM n e JOIN n r ON NOT e.train AND r.train AND len(list_intersect(e.positives, r.positives)) > 0 AND {_EDITS} <= 2",
     "p7_report": f"""WITH {_FOLDED}, k AS (SELECT *, list_sort(t) AS cls FROM n), te AS (SELECT DISTINCT cls AS t FROM k WHERE train), ee AS (SELECT DISTINCT cls AS t FROM k WHERE NOT train),
