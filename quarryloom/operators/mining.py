@@ -119,6 +119,13 @@ def easy_negatives(anchors: DataFrame, chunks: DataFrame, seed: int = 0) -> Data
     return first_fitting(mine, r.drop("goal"), "all", tier, k=1, goal="goal").select("anchor", "negative", "tier", "choice")
 
 
+def _any_other(found: DataFrame, anchors: DataFrame, chunks: DataFrame, tier: int, seed: int) -> DataFrame:
+    """``anchor, negative, tier, choice`` for the anchors that ``found`` doesn't have: the next chunks of all in hash order."""
+    left = anchors.select("id").distinct().join(found.select(F.col("anchor").alias("id")).distinct(), "id", "left_anti")
+    r = ring(chunks.select("id", F.lit(0).alias("all")), "all", seed=seed)
+    return first_fitting(r.join(left, "id", "left_semi"), r, "all", lambda a, c: F.lit(1), k=CHOICES).select("anchor", "negative", F.lit(tier).alias("tier"), "choice")
+
+
 def _leaf(path: Column, heading: Column) -> Column:
     return F.coalesce(F.lower(T.blank_to_null(heading)), F.try_element_at(path, F.lit(-1)), F.lit(""))
 
@@ -128,7 +135,7 @@ def medium_negatives(anchors: DataFrame, chunks: DataFrame, seed: int = 0) -> Da
 
     Tier 1: paths alike by 0.2 to 0.5, or by less than 0.3 within one file; 3: first words alike by 0.15 to 0.4; 5: any.
     Each first with another leaf heading; 2, 4 and 6 are the same with the anchor's own. Of the tables under one heading
-    only ``TABLES_PER_HEADING`` take part. Anchors alone under their heading have no row here.
+    only ``TABLES_PER_HEADING`` take part. 7: any chunk, for anchors that have none under their heading.
     """
     c = chunks.select("id", "filename", "top", "path", "words", _leaf(F.col("path"), F.col("heading")).alias("leaf"), F.coalesce(F.lower("chunk_type"), F.lit("")).alias("kind"))
     tables = first_per_group(c.where("kind = 'table'").select("top", "id").withColumn("h", hash_order("id", seed=seed)), ["top"], ["h", "id"], TABLES_PER_HEADING).select("id", F.lit(True).alias("listed"))
@@ -143,14 +150,16 @@ def medium_negatives(anchors: DataFrame, chunks: DataFrame, seed: int = 0) -> Da
         return F.when(F.col(f"{c}.allowed"), F.when(F.coalesce(by_path, F.lit(False)), 1).when(F.coalesce(w.between(*MEDIUM_WORDS), F.lit(False)), 3).otherwise(5) + same)
 
     mine = r.join(anchors.select("id").distinct(), "id", "left_semi")
-    return first_fitting(mine, r, "top", tier, k=CHOICES).select("anchor", "negative", "tier", "choice")
+    found = cut(first_fitting(mine, r, "top", tier, k=CHOICES).select("anchor", "negative", "tier", "choice"))
+    return found.unionByName(_any_other(found, anchors, chunks, 7, seed))
 
 
 def hard_negatives(anchors: DataFrame, chunks: DataFrame, seed: int = 0, path_least: float = HARD_PATH, words_least: float = HARD_WORDS, top: int = HARD_TOP) -> DataFrame:
     """``anchor, negative, tier, score, choice``: the most confusable chunks under the same top heading, at most ``CHOICES`` an anchor.
 
     Tier 1: paths alike by ``path_least`` or first words by ``words_least``, of which the ``top`` best by 0.6 path + 0.4
-    words stand for a choice by hash; 2: of the same category, 3: any. For ``CROSS_SHARE`` of all anchors, evenly spread in hash order,
+    words stand for a choice by hash; 2: of the same category, 3: any, 4: any chunk at all, for anchors that have none
+    under their heading. For ``CROSS_SHARE`` of all anchors, evenly spread in hash order,
     those of another category come first. Every anchor is compared with all chunks of its scope, in blocks of
     ``ANCHORS_PER_TASK`` anchors: exact, at a cost that grows with the square of a scope, and never in one task.
     """
@@ -171,7 +180,8 @@ def hard_negatives(anchors: DataFrame, chunks: DataFrame, seed: int = 0, path_le
     best = first_per_group(met, ["anchor"], ["tier", F.desc("cross"), F.desc("score"), "negative"], top)
     order = hash_order("anchor", "negative", seed=seed)
     choice = F.row_number().over(Window.partitionBy("anchor").orderBy("tier", F.desc("cross"), order))
-    return best.withColumn("choice", choice).where(F.col("choice") <= CHOICES).select("anchor", "negative", "tier", "score", "choice")
+    found = cut(best.withColumn("choice", choice).where(F.col("choice") <= CHOICES).select("anchor", "negative", "tier", "score", "choice"))
+    return found.unionByName(_any_other(found, anchors, chunks, 4, seed).withColumn("score", F.lit(0.0)))
 
 
 def negative_pairs(pairs: DataFrame, chunks: DataFrame, ratio: int = 2, seed: int = 0) -> DataFrame:

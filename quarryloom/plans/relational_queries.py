@@ -390,16 +390,18 @@ def _jaccard_sql(a: str, b: str) -> str:
 
 _MINED = f"""m AS (SELECT id, filename, {_CATEGORY} AS category, {seg_sql('concat_header_path')} AS path, list_distinct({tok_sql('content')}[1:30]) AS words, lower(coalesce(chunk_type, '')) AS kind,
     nullif({strip_sql('heading')}, '') AS head FROM {CHUNKS}),
-  mc AS (SELECT *, coalesce(path[1], lower(head), '') AS top, coalesce(lower(head), path[len(path)], '') AS leaf, md5('0:' || id) AS h FROM m)"""
-_EASY = """er AS (SELECT *, row_number() OVER (ORDER BY h, id) AS rn, count(*) OVER () AS n FROM mc),
-  easy AS (SELECT anchor, negative, tier, CAST(1 AS INTEGER) AS choice FROM (SELECT a.id AS anchor, c.id AS negative, CASE WHEN a.category <> c.category THEN 1 WHEN a.filename IS DISTINCT FROM c.filename THEN 2 ELSE 3 END AS tier,
+  mc AS (SELECT *, coalesce(path[1], lower(head), '') AS top, coalesce(lower(head), path[len(path)], '') AS leaf, md5('0:' || id) AS h FROM m),
+  er AS (SELECT *, row_number() OVER (ORDER BY h, id) AS rn, count(*) OVER () AS n FROM mc),
+  others AS (SELECT a.id AS anchor, c.id AS negative, (c.rn - a.rn + a.n) % a.n AS off FROM er a JOIN er c ON (c.rn - a.rn + a.n) % a.n BETWEEN 1 AND 3)"""
+_EASY = """easy AS (SELECT anchor, negative, tier, CAST(1 AS INTEGER) AS choice FROM (SELECT a.id AS anchor, c.id AS negative, CASE WHEN a.category <> c.category THEN 1 WHEN a.filename IS DISTINCT FROM c.filename THEN 2 ELSE 3 END AS tier,
     (c.rn - a.rn + a.n) % a.n AS off FROM er a JOIN er c ON a.top <> c.top) QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY tier, off) = 1)"""
 _MEDIUM = f"""mr AS (SELECT *, row_number() OVER (PARTITION BY top ORDER BY h, id) AS rn, count(*) OVER (PARTITION BY top) AS n, kind <> 'table' OR row_number() OVER (PARTITION BY top, kind = 'table' ORDER BY h, id) <= 3 AS allowed FROM mc),
   mp AS (SELECT a.id AS anchor, c.id AS negative, (c.rn - a.rn + a.n) % a.n AS off, a.filename IS NOT DISTINCT FROM c.filename AS infile, a.leaf = c.leaf AS same,
     CASE WHEN len(a.path) > 0 AND len(c.path) > 0 THEN {_jaccard_sql('a.path', 'c.path')} END AS p, CASE WHEN len(a.words) > 0 AND len(c.words) > 0 THEN {_jaccard_sql('a.words', 'c.words')} END AS w
     FROM mr a JOIN mr c ON a.top = c.top AND a.id <> c.id WHERE c.allowed),
   mt AS (SELECT anchor, negative, off, CASE WHEN coalesce(p BETWEEN 0.2 AND 0.5 OR (p < 0.3 AND infile), false) THEN 1 WHEN coalesce(w BETWEEN 0.15 AND 0.4, false) THEN 3 ELSE 5 END + CAST(same AS INTEGER) AS tier FROM mp),
-  medium AS (SELECT anchor, negative, tier, CAST(row_number() OVER (PARTITION BY anchor ORDER BY tier, off) AS INTEGER) AS choice FROM mt QUALIFY choice <= 3)"""
+  m0 AS (SELECT anchor, negative, tier, CAST(row_number() OVER (PARTITION BY anchor ORDER BY tier, off) AS INTEGER) AS choice FROM mt QUALIFY choice <= 3),
+  medium AS (SELECT * FROM m0 UNION ALL SELECT anchor, negative, 7, CAST(off AS INTEGER) FROM others WHERE anchor NOT IN (SELECT anchor FROM m0))"""
 def _hard_sql(path_least: float = 0.35, words_least: float = 0.2, top: int = 20) -> str:
     return f"""hr AS (SELECT *, row_number() OVER (ORDER BY h, id) AS rn FROM mc),
   ha AS (SELECT *, floor(rn * CAST(0.3 AS DOUBLE)) > floor((rn - 1) * CAST(0.3 AS DOUBLE)) AS need FROM hr),
@@ -408,7 +410,8 @@ def _hard_sql(path_least: float = 0.35, words_least: float = 0.2, top: int = 20)
     FROM ha a JOIN mc c ON a.top = c.top AND a.id <> c.id),
   ht AS (SELECT *, CASE WHEN p >= {path_least} OR w >= {words_least} THEN 1 WHEN same THEN 2 ELSE 3 END AS tier, CASE WHEN tier = 1 THEN round(CAST(0.6 AS DOUBLE) * p + CAST(0.4 AS DOUBLE) * w, 9) ELSE 0.0 END AS score FROM hp),
   hb AS (SELECT * FROM ht QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY tier, cross_source DESC, score DESC, negative) <= {top}),
-  hard AS (SELECT anchor, negative, tier, score, CAST(row_number() OVER (PARTITION BY anchor ORDER BY tier, cross_source DESC, md5('0:' || anchor || ':' || negative)) AS INTEGER) AS choice FROM hb QUALIFY choice <= 3)"""
+  h0 AS (SELECT anchor, negative, tier, score, CAST(row_number() OVER (PARTITION BY anchor ORDER BY tier, cross_source DESC, md5('0:' || anchor || ':' || negative)) AS INTEGER) AS choice FROM hb QUALIFY choice <= 3),
+  hard AS (SELECT * FROM h0 UNION ALL SELECT anchor, negative, 4, 0.0, CAST(off AS INTEGER) FROM others WHERE anchor NOT IN (SELECT anchor FROM h0))"""
 
 
 _HARD = _hard_sql()
