@@ -156,7 +156,7 @@ def _emit(p: Params, cells: list[Cells], shards: int, dim: int):
                 for t, cell in enumerate(own.hashes(x[mine], p.seed)):
                     rec = np.empty(len(mine), _REC)
                     rec["row"], rec["v"] = ids[mine], q[mine]
-                    rec["cell"] = cell | np.uint64((f << 8 | t) << 40)
+                    rec["cell"] = cell | np.uint64((f << 16 | t) << 40)
                     mixed = (rec["cell"] ^ (rec["cell"] >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15)
                     parts.append((((mixed >> np.uint64(32)) % np.uint64(shards)).astype(np.int32), rec))
                     held += len(mine)
