@@ -4,22 +4,30 @@ nodes become the host's template, varying slots content; the content is then wri
 from __future__ import annotations
 
 import html
+import math
+import operator
 import re
 from collections import Counter
 from collections.abc import Callable, Iterator
+from functools import reduce
 from html.entities import html5
+from itertools import accumulate
 
+import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarryloom.llm.bits import SALTS, salted_join
-from quarryloom.runtime import cut
-
-#: The commonest tree shapes of a host and field that others are aligned with, and the most nodes of one. Every page votes,
-#: also within its own shape, whatever its size.
-SKELETONS, SKELETON_NODES = 8, 200
+from quarryloom.runtime import cut, spread
+
+#: Each shape's nodes are voted on by its own pages, and besides by those of all shapes of its host and field that have at
+#: least such a share of labels in common with it: pages of one layout, pages alike, all pages.
+NEAR = (0.75, 0.5, 0.0)
+#: Nodes and votes of the shapes that are packed into one row, so that a host's shapes meet in pairs of rows, and such pairs a
+#: task. No result depends on them.
+BLOCK_NODES, PAIRS_PER_TASK = 1024, 32
 #: A node is template when at least so many pages have it and this share of them has the same text there.
 MIN_SUPPORT, CONSTANT_SHARE = 5, 0.6
 
@@ -291,36 +299,49 @@ def flatten(root: Node) -> tuple[list[int], list[str], list[int]]:
     return parents, labels, hashes
 
 
-def match_trees(a: tuple[list[int], list[str]], b: tuple[list[int], list[str]]) -> list[tuple[int, int]]:
-    """Simple tree matching: the largest order- and ancestor-preserving set of equally labelled node pairs, roots included."""
+class Shape:
+    """A tree's preorder arrays with children, heights and, for each node, a number that nodes with equal trees below them share."""
+
+    __slots__ = ("canon", "heights", "inner", "kids", "labels")
 
-    def kids(parents: list[int]) -> list[list[int]]:
-        out: list[list[int]] = [[] for _ in parents]
+    def __init__(self, parents: list[int], labels: list[str], known: dict[tuple, int]):
+        self.labels = labels
+        self.kids: list[list[int]] = [[] for _ in parents]
         for i, p in enumerate(parents):
             if p >= 0:
-                out[p].append(i)
-        return out
+                self.kids[p].append(i)
+        self.canon, self.heights = [0] * len(parents), [0] * len(parents)
+        for i in range(len(parents) - 1, -1, -1):
+            if self.kids[i]:
+                self.heights[i] = 1 + max(self.heights[c] for c in self.kids[i])
+            self.canon[i] = known.setdefault((labels[i], *[self.canon[c] for c in self.kids[i]]), len(known))
+        #: Distinct children that have children themselves.
+        self.inner = [list({self.canon[c]: c for c in k if self.kids[c]}.values()) for k in self.kids]
+
+
+#: Children lists with more pairs than this are compared a row at a time by numpy, in memory of their length times its root.
+_FEW_PAIRS = 2048
+
 
-    ka, kb, la, lb = kids(a[0]), kids(b[0]), a[1], b[1]
-    memo: dict[tuple[int, int], tuple[int, list[tuple[int, int]]]] = {}
+def _lists(a: Shape, b: Shape, x: int, y: int, memo: dict[tuple[int, int], int], trace: bool) -> tuple[int, list[tuple[int, int]]]:
+    """The greatest weight of an order-preserving matching of two nodes' children, and with ``trace`` its pairs."""
+    xs, ys = a.kids[x], b.kids[y]
 
-    def weigh(x: int, y: int) -> int:
-        if la[x] != lb[y]:
+    def weight(i: int, k: int) -> int:
+        if a.labels[i] != b.labels[k]:
             return 0
-        if not ka[x] or not kb[y]:
-            return 1
-        if (x, y) in memo:
-            return memo[x, y][0]
-        xs, ys = ka[x], kb[y]
+        return memo[a.canon[i], b.canon[k]] if a.kids[i] and b.kids[k] else 1
+
+    pairs, i, j = [], len(xs), len(ys)
+    if len(xs) * len(ys) <= _FEW_PAIRS:
         rows = [[0] * (len(ys) + 1)]
-        for i in xs:
+        for u in xs:
             last, row = rows[-1], [0]
-            for j, k in enumerate(ys):
-                w = weigh(i, k)
-                row.append(max(last[j + 1], row[j], last[j] + w if w else 0))
+            for k, v in enumerate(ys):
+                w = weight(u, v)
+                row.append(max(last[k + 1], row[k], last[k] + w if w else 0))
             rows.append(row)
-        pairs, i, j = [], len(xs), len(ys)
-        while i and j:
+        while trace and i and j:
             if rows[i][j] == rows[i - 1][j]:
                 i -= 1
             elif rows[i][j] == rows[i][j - 1]:
@@ -328,19 +349,72 @@ def match_trees(a: tuple[list[int], list[str]], b: tuple[list[int], list[str]])
             else:
                 i, j = i - 1, j - 1
                 pairs.append((xs[i], ys[j]))
-        memo[x, y] = (rows[-1][-1] + 1, pairs)
-        return memo[x, y][0]
+        return rows[-1][-1], pairs
+    column: dict[int, int] = {}
+    at = np.array([column.setdefault(b.canon[v], len(column)) for v in ys])
+    distinct = list({b.canon[v]: v for v in ys}.values())
+    weights: dict[int, np.ndarray] = {}
+
+    def following(last: np.ndarray, u: int) -> np.ndarray:
+        if a.canon[u] not in weights:
+            weights[a.canon[u]] = np.array([weight(u, v) for v in distinct], dtype=np.int64)
+        row = np.zeros_like(last)
+        np.maximum.accumulate(np.maximum(last[1:], last[:-1] + weights[a.canon[u]][at]), out=row[1:])
+        return row
+
+    step, row = math.isqrt(len(xs)) + 1, np.zeros(len(ys) + 1, dtype=np.int64)
+    starts = [row]
+    for n, u in enumerate(xs, 1):
+        row = following(row, u)
+        if n % step == 0:
+            starts.append(row)
+    while trace and i and j:
+        first = (i - 1) // step * step
+        rows = [starts[first // step]]
+        for u in xs[first:i]:
+            rows.append(following(rows[-1], u))
+        while i > first and j:
+            here, above = rows[i - first], rows[i - first - 1]
+            if here[j] == above[j]:
+                i -= 1
+            elif here[j] == here[j - 1]:
+                j -= 1
+            else:
+                i, j = i - 1, j - 1
+                pairs.append((xs[i], ys[j]))
+    return int(row[-1]), pairs
+
 
-    weigh(0, 0)
+def match_shapes(a: Shape, b: Shape) -> list[tuple[int, int]]:
+    """Simple tree matching: the largest order- and ancestor-preserving set of equally labelled node pairs, roots included."""
+    need, todo = {(a.canon[0], b.canon[0]): (0, 0)}, [(0, 0)]
+    while todo:
+        x, y = todo.pop()
+        for i in a.inner[x]:
+            for k in b.inner[y]:
+                key = a.canon[i], b.canon[k]
+                if a.labels[i] == b.labels[k] and key not in need:
+                    need[key] = i, k
+                    todo.append((i, k))
+    memo: dict[tuple[int, int], int] = {}
+    del need[a.canon[0], b.canon[0]]
+    for key, (x, y) in sorted(need.items(), key=lambda n: a.heights[n[1][0]]):
+        memo[key] = 1 + _lists(a, b, x, y, memo, False)[0]
     out, todo = [], [(0, 0)]
     while todo:
         x, y = todo.pop()
         out.append((x, y))
-        if ka[x] and kb[y]:
-            todo.extend(memo[x, y][1])
+        if a.kids[x] and b.kids[y]:
+            todo.extend(_lists(a, b, x, y, memo, True)[1])
     return out
 
 
+def match_trees(a: tuple[list[int], list[str]], b: tuple[list[int], list[str]]) -> list[tuple[int, int]]:
+    """``match_shapes`` of two trees in preorder arrays."""
+    known: dict[tuple, int] = {}
+    return match_shapes(Shape(*a, known), Shape(*b, known))
+
+
 KINDS = ("html", "latex", "markdown", "wiki")
 
 
@@ -370,48 +444,116 @@ def markup_trees(chunks: DataFrame) -> DataFrame:
     return trees.withColumn("texts", F.xxhash64("hashes")).dropDuplicates(["id", "field", "host", "shape", "texts"]).drop("texts")
 
 
-def _align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each shape against the skeleton with the largest common bag of labels: its nodes and the skeleton's that they match."""
-    names = ["host", "field", "shape", "skeleton", "node", "theirs"]
-    types = [pa.string(), pa.string(), pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32())]
-    for b in batches:
-        rows = []
-        for r in b.to_pylist():
-            bag = Counter(r["labels"])
-            best = max(r["skel"], key=lambda s: (sum((bag & Counter(s["labels"])).values()) / (len(s["labels"]) + len(r["labels"])), s["shape"]))
-            pairs = match_trees((best["parents"], best["labels"]), (r["parents"], r["labels"]))
-            rows.append((r["host"], r["field"], r["shape"], best["shape"], [y for _, y in pairs], [x for x, _ in pairs]))
-        cols = zip(*rows, strict=True) if rows else [[]] * len(names)
-        yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, types, strict=True)], names)
-
-
-def _constant(votes: DataFrame, by: list[str]) -> DataFrame:
-    """``*by, node, text``: nodes whose commonest text enough of their pages have."""
-    node = votes.where("node > 0").groupBy(*by, "node", "text").agg(F.sum("n").alias("n")).groupBy(*by, "node").agg(F.sum("n").alias("all"), F.max("n").alias("most"), F.max_by("text", F.struct("n", "text")).alias("text"))
-    return node.where((F.col("all") >= MIN_SUPPORT) & (F.col("most") >= CONSTANT_SHARE * F.col("all"))).select(*by, "node", "text")
+_NONE: dict[int, int] = {}
+
+
+def _vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All shapes of a block against all of another, or of the same: for each of their nodes and its texts, how many pages have
+    the aligned node and how many of them that text, by nearness of the pages' shape."""
+    rings = len(NEAR) + 1
+    names = ["host", "field", "shape", "node", "text", *(f"n{r}" for r in range(rings)), *(f"all{r}" for r in range(rings))]
+    types = [pa.string(), pa.string(), pa.int64(), pa.int32(), *[pa.int64()] * (2 * rings + 1)]
+
+    class Side:
+        def __init__(self, rows: list[dict], known: dict[tuple, int], columns: dict[str, int]):
+            self.rows, self.shapes = rows, [Shape(r["parents"], r["labels"], known) for r in rows]
+            self.bags = np.zeros((len(rows), len(columns)), dtype=np.int64)
+            self.texts, self.counts, self.all = [], [], []
+            for bag, r in zip(self.bags, rows, strict=True):
+                for label, n in Counter(r["labels"]).items():
+                    bag[columns[label]] = n
+                texts: dict[int, dict[int, int]] = {}
+                for v in r["votes"]:
+                    texts.setdefault(v["node"], {})[v["text"]] = v["n"]
+                self.texts.append(texts)
+                self.counts.append({})
+                self.all.append({node: [0] * rings for node in texts})
+
+        def add(self, i: int, node: int, ring: int, pages: int, theirs: dict[int, int]) -> None:
+            mine = self.texts[i].get(node)
+            if mine is None:
+                return
+            self.all[i][node][ring] += pages
+            for text in mine if len(mine) <= len(theirs) else theirs:
+                if text in mine and text in theirs:
+                    self.counts[i].setdefault((node, text), [0] * rings)[ring] += theirs[text]
+
+        def result(self, host: str, field: str) -> Iterator[tuple]:
+            for r, texts, counts, everything in zip(self.rows, self.texts, self.counts, self.all, strict=True):
+                for node, mine in texts.items():
+                    whole = list(accumulate(everything[node]))
+                    for text in mine:
+                        yield host, field, r["shape"], node, text, *accumulate(counts.get((node, text), [0] * rings)), *whole
+
+    for batch in batches:
+        for at in range(batch.num_rows):
+            r = batch.slice(at, 1).to_pylist()[0]
+            same, known, columns = r["block"] == r["other"], {}, {}
+            for s in r["mine"] + r["theirs"]:
+                for label in s["labels"]:
+                    columns.setdefault(label, len(columns))
+            a = Side(r["mine"], known, columns)
+            b = a if same else Side(r["theirs"], known, columns)
+            sizes = b.bags.sum(axis=1)
+            for i, x in enumerate(a.rows):
+                common = 2 * np.minimum(a.bags[i], b.bags).sum(axis=1) / (sizes + len(x["labels"]))
+                for j in range(i if same else 0, len(b.rows)):
+                    y = b.rows[j]
+                    if same and i == j:
+                        for node, texts in a.texts[i].items():
+                            a.add(i, node, 0, x["n"], texts)
+                        continue
+                    ring = 1 + next(k for k, least in enumerate(NEAR) if common[j] >= least)
+                    # The lesser shape comes first, so that no pair's alignment depends on blocks.
+                    pairs = match_shapes(a.shapes[i], b.shapes[j]) if x["shape"] < y["shape"] else [(u, v) for v, u in match_shapes(b.shapes[j], a.shapes[i])]
+                    for u, v in pairs:
+                        a.add(i, u, ring, y["n"], b.texts[j].get(v, _NONE))
+                        b.add(j, v, ring, x["n"], a.texts[i].get(u, _NONE))
+            rows = [*a.result(r["host"], r["field"]), *(() if same else b.result(r["host"], r["field"]))]
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
+
+
+def _constant(trees: DataFrame) -> DataFrame:
+    """``host, field, shape, node, text``: nodes of each shape with the text that enough pages have there.
+
+    A text with the needed share of all votes on a node has it among the pages of at least one shape, so only texts that
+    lead somewhere on the host are counted. All pairs of a host's shapes are aligned, in pairs of blocks of shapes.
+    """
+    place, by = ["host", "field"], ["host", "field", "shape"]
+    shapes = trees.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.first("parents").alias("parents"), F.first("labels").alias("labels"))
+    votes = trees.select(*by, F.posexplode("hashes").alias("node", "text")).where("node > 0").groupBy(*by, "node", "text").agg(F.count(F.lit(1)).alias("n"))
+    votes = cut(votes)
+    pages = votes.groupBy(*by, "node").agg(F.sum("n").alias("pages"), F.max_by("text", "n").alias("text"), F.max("n").alias("n"))
+    leading = pages.where(F.col("n") >= CONSTANT_SHARE * F.col("pages")).select(*place, "text").distinct()
+    votes = votes.join(leading, [*place, "text"], "left_semi").groupBy(*by).agg(F.collect_list(F.struct("node", "text", "n")).alias("votes"))
+    shapes = cut(shapes.join(votes, by, "left").withColumn("votes", F.coalesce("votes", F.array())))
+    blocks = shapes.groupBy(*place).agg(F.ceil(F.sum(F.size("labels") + F.size("votes")) / BLOCK_NODES).cast("int").alias("blocks"))
+    packed = salted_join(shapes, blocks, place, "shape").withColumn("block", F.pmod(F.xxhash64("shape"), F.col("blocks")).cast("int"))
+    packed = cut(packed.groupBy(*place, "block", "blocks").agg(F.collect_list(F.struct("shape", "n", "parents", "labels", "votes")).alias("mine")))
+    one = packed.select(*place, "block", "mine", F.explode(F.expr("sequence(block, blocks - 1)")).alias("other"))
+    two = packed.select(*place, F.col("block").alias("other"), F.col("mine").alias("theirs"))
+    width = spread(packed, packed.agg(F.sum(F.col("blocks") - F.col("block"))).first()[0] or 0, PAIRS_PER_TASK)
+    rings = range(len(NEAR) + 1)
+    counts = ", ".join(f"n{r} bigint" for r in rings) + ", " + ", ".join(f"all{r} bigint" for r in rings)
+    met = one.repartition(width, *place, "other").join(two.repartition(width, *place, "other"), [*place, "other"]).mapInArrow(_vote, f"host string, field string, shape bigint, node int, text bigint, {counts}")
+    met = met.groupBy(*by, "node", "text").agg(*[F.sum(f"{c}{r}").alias(f"{c}{r}") for c in ("n", "all") for r in rings])
+    enough = [(F.col(f"all{r}") >= MIN_SUPPORT) & (F.col(f"n{r}") >= CONSTANT_SHARE * F.col(f"all{r}")) for r in rings]
+    return met.where(reduce(operator.or_, enough)).select(*by, "node", "text")
 
 
 def wrapped(chunks: DataFrame) -> DataFrame:
     """Wrapper induction: ``id, field, labels, template`` for each chunk and field with markup; ``template`` lists the
     preorder indices of its nodes that are constant on the host, all other nodes being content slots.
 
-    Pages of one shape are aligned as they stand. Besides, each distinct shape is aligned by simple tree matching with
-    the nearest of its host's ``SKELETONS`` commonest shapes, where its pages vote together with those of the others. A
-    node is template if its text is the constant one in either vote. Votes are counted by shape, node and text before
-    they are shuffled; joins on hosts and shapes are salted ``SALTS`` times, so a hot one spreads over many keys.
+    Pages of one shape are aligned as they stand, and each distinct shape by simple tree matching with every other shape of
+    its host and field. On each node of a shape four votes are taken: of its own pages, and of those of all shapes within
+    each share of ``NEAR``. A node is template if its text is the constant one in any of them. The number of alignments
+    grows with the square of a host's distinct shapes. The join on hosts and shapes is salted ``SALTS`` times.
     """
     trees = cut(markup_trees(chunks))
     by = ["host", "field", "shape"]
-    shapes = cut(trees.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.first("parents").alias("parents"), F.first("labels").alias("labels")))
-    place = F.row_number().over(Window.partitionBy("host", "field").orderBy(F.desc("n"), "shape"))
-    skeletons = shapes.where(F.size("labels") <= SKELETON_NODES).withColumn("place", place).where(F.col("place") <= SKELETONS)
-    skeletons = skeletons.groupBy("host", "field").agg(F.collect_list(F.struct("shape", "parents", "labels")).alias("skel"))
-    aligned = salted_join(shapes.drop("n"), skeletons, ["host", "field"], "shape").mapInArrow(_align, "host string, field string, shape bigint, skeleton bigint, node array<int>, theirs array<int>")
-    pairs = cut(aligned.select(*by, "skeleton", F.explode(F.arrays_zip("node", "theirs")).alias("p")).select(*by, "skeleton", "p.node", "p.theirs"))
-    votes = cut(trees.select(*by, F.posexplode("hashes").alias("node", "text")).groupBy(*by, "node", "text").agg(F.count(F.lit(1)).alias("n")))
-    across = salted_join(votes, pairs, [*by, "node"], "text").select("host", "field", "skeleton", F.col("theirs").alias("node"), "text", "n")
-    across = _constant(across, ["host", "field", "skeleton"]).withColumnRenamed("node", "theirs").join(pairs, ["host", "field", "skeleton", "theirs"])
-    constant = _constant(votes, by).unionByName(across.select(*by, "node", "text")).groupBy(*by).agg(F.collect_set(F.struct("node", "text")).alias("constant"))
+    constant = _constant(trees).groupBy(*by).agg(F.collect_set(F.struct("node", "text")).alias("constant"))
     salted = constant.withColumn("salt", F.explode(F.array(*[F.lit(i) for i in range(SALTS)])))
     met = trees.withColumn("salt", (F.abs(F.xxhash64("id")) % SALTS).cast("int")).join(salted, [*by, "salt"], "left")
     nodes = F.transform("hashes", lambda h, i: F.struct(i.alias("node"), h.alias("text")))

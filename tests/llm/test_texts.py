@@ -87,6 +87,68 @@ def test_wrapper_finds_the_template_of_a_host(spark):
     assert markup.markup_kinds(df.limit(0)).count() == 0
 
 
+def test_long_lists_match_as_short_ones(monkeypatch):
+    rng = random.Random(5)
+    for _ in range(40):
+        pair = []
+        for _ in range(2):
+            text = "".join(rng.choice(["<p>x</p>", "<div><p>x</p><b>y</b></div>", "<div><ul><li>a<li>b</ul></div>", "<b>", "</b>", "z ", "<br>"]) for _ in range(rng.randint(1, 25)))
+            pair.append(markup.flatten(markup.tree(text, markup.scan(text)))[:2])
+        monkeypatch.setattr(markup, "_FEW_PAIRS", 2048)
+        short = markup.match_trees(*pair)
+        monkeypatch.setattr(markup, "_FEW_PAIRS", 0)
+        assert markup.match_trees(*pair) == short and len(short) == (brute_match(*pair))
+    deep = "<div>" * 3000 + "x" + "</div>" * 3000
+    tree = markup.flatten(markup.tree(deep, markup.scan(deep)))[:2]
+    assert len(markup.match_trees(tree, tree)) == 3002
+
+
+def test_wrapper_finds_templates_outside_the_commonest_shapes(spark):
+    def page(k):
+        return "<footer><small>All rights reserved</small></footer>" + f"<blockquote>Said number {k}</blockquote>" * (k + 1)
+
+    def long(k):
+        return '<nav class="top"><a href="/h">Home</a></nav>' + "".join(f"<p>Line {k} {i}</p>" for i in range(110 + k))
+
+    common = ["b", "i", "u", "s", "tt", "em", "q", "kbd", "var"]
+    rows = [(f"c{e}{k}", "host/a", None, "".join(f"<{e}>{e} {k} {i}</{e}>" for i in range(3)), None) for e in common for k in range(3)]
+    rows += [(f"r{k}", "host/a", None, page(k), None) for k in range(6)] + [(f"l{k}", "other/a", None, long(k), None) for k in range(6)]
+    clean = {r.id: r.content for r in markup.cleaned_chunks(chunks(spark, rows)).collect()}
+    assert all("rights" not in clean[f"r{k}"] and clean[f"r{k}"].count(f"Said number {k}") == k + 1 for k in range(6))
+    assert all("Home" not in clean[f"l{k}"] and clean[f"l{k}"].count(f"Line {k} ") == 110 + k for k in range(6))
+
+
+def test_wrapper_votes_over_all_pairs_of_shapes(spark, monkeypatch):
+    rng = random.Random(7)
+    parts = ['<nav><a href="/h">Home</a></nav>', "<p>own {}</p>", "<ul><li>a<li>{}</ul>", "<b>same</b>", "**bold** text ", "<i>{}</i>", "<footer><b>end</b></footer>"]
+    texts = ["".join(p.format(rng.randrange(3)) for p in parts if rng.random() < 0.6) for _ in range(60)]
+    pages = {}
+    for k, t in enumerate(texts):
+        if tokens := markup.scan(t):
+            pages[f"i{k}"] = markup.flatten(markup.tree(t, tokens))
+    wanted = {}
+    by_shape = {}
+    for i, (parents, labels, _) in pages.items():
+        by_shape.setdefault((tuple(parents), tuple(labels)), []).append(i)
+    number = {s: markup.xxhash.xxh64_intdigest(f"{list(s[0])}{list(s[1])}") - (1 << 63) for s in by_shape}
+    for mine, ids in by_shape.items():
+        votes = {}
+        for theirs, others in by_shape.items():
+            a, b = markup.Counter(mine[1]), markup.Counter(theirs[1])
+            common = 2 * sum((a & b).values()) / (len(mine[1]) + len(theirs[1]))
+            pairs = markup.match_trees(mine, theirs) if number[mine] <= number[theirs] else [(x, y) for y, x in markup.match_trees(theirs, mine)]
+            for least in ("own", *markup.NEAR):
+                if theirs == mine if least == "own" else common >= least:
+                    for x, y in pairs:
+                        votes.setdefault((least, x), markup.Counter()).update(pages[o][2][y] for o in others)
+        for i in ids:
+            wanted[i] = [x for x in range(1, len(mine[0])) if any(c.total() >= 5 and c[pages[i][2][x]] >= 0.6 * c.total() for least in ("own", *markup.NEAR) if (c := votes.get((least, x))))]
+    df = chunks(spark, [(f"i{k}", "host/a", None, t, None) for k, t in enumerate(texts)])
+    for size in (4096, 12):
+        monkeypatch.setattr(markup, "BLOCK_NODES", size)
+        assert {r.id: r.template for r in markup.wrapped(df).collect()} == wanted
+
+
 @pytest.fixture(scope="module")
 def model(spark):
     """Border and words of a corpus of pages with menus, consent notices and text, in which no checked line stands as it is."""
